@@ -54,8 +54,8 @@ def size_kb(size_bytes: Column) -> Column:
 
 
 def size_label(kb: Column) -> Column:
-    """Kilobytes with two decimals."""
-    return F.format_string("%.2f", kb)
+    """Kilobytes with two decimals; halves go to the even digit."""
+    return F.format_string("%.2f", F.bround(kb, 2))
 
 
 def basename(path: Column) -> Column:

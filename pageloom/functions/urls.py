@@ -9,6 +9,7 @@ or dot segments.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,6 +30,7 @@ def _tail(text: Column, taken: Column | int) -> Column:
     return F.substr(text, taken + F.lit(1))
 
 
+@cache
 def _parse_steps(p: str, source: str) -> list[Step]:
     """Steps splitting ``source`` into ``{p}scheme`` .. ``{p}fragment``."""
 
@@ -236,6 +238,7 @@ def is_prohibited_path(path: Column, words: Iterable[str] = fixed.PROHIBITED_SEG
 
 # -- public functions ------------------------------------------------------
 
+@cache
 def _normalize_steps(drop_params, sort_keys: bool, compat: bool, keep_path_case: bool) -> list[Step]:
     """Steps from inputs ``url`` and ``base`` to ``normalized``."""
 
@@ -291,10 +294,10 @@ def normalize_url(url: Column, base: Column, *, drop_params: Iterable[str] = ("p
 
 def with_normalized_url(df: DataFrame, url: str = "href", base: str = "page_url", out: str = "url", *,
                         drop_params: Iterable[str] = ("page",), sort_keys: bool = False,
-                        compat: bool = True, keep_path_case: bool = False) -> DataFrame:
-    """:func:`normalize_url` as staged projections, for bulk work."""
+                        compat: bool = True, keep_path_case: bool = False, drop_filtered: bool = False) -> DataFrame:
+    """:func:`normalize_url` as a new column; ``drop_filtered`` leaves out links without one."""
     steps = _normalize_steps(tuple(drop_params), sort_keys, compat, keep_path_case)
-    return with_steps(df, {"url": F.col(url), "base": F.col(base)}, steps, {out: "normalized"})
+    return with_steps(df, {"url": F.col(url), "base": F.col(base)}, steps, {out: "normalized"}, out if drop_filtered else None)
 
 
 _PARTS = ("scheme", "netloc", "path", "params", "query", "fragment")
@@ -302,8 +305,7 @@ _PARTS = ("scheme", "netloc", "path", "params", "query", "fragment")
 
 def url_parts(url: Column) -> Column:
     """Struct of scheme, netloc, path, params, query and fragment."""
-    steps = _parse_steps("u_", "url")
-    steps.append(("parts", lambda g: F.struct(*[g(f"u_{n}").alias(n) for n in _PARTS])))
+    steps = [*_parse_steps("u_", "url"), ("parts", lambda g: F.struct(*[g(f"u_{n}").alias(n) for n in _PARTS]))]
     return as_column({"url": url}, steps)
 
 
@@ -312,6 +314,7 @@ def with_url_parts(df: DataFrame, url: str, prefix: str = "", parts: Iterable[st
     return with_steps(df, {"url": F.col(url)}, _parse_steps("u_", "url"), {f"{prefix}{n}": f"u_{n}" for n in parts})
 
 
+@cache
 def _absolute_steps() -> list[Step]:
     return [
         ("ref0", lambda g: F.coalesce(g("ref"), F.lit(""))),
@@ -330,7 +333,7 @@ def resolve_url(base: Column, ref: Column) -> Column:
 
 
 def with_resolved_url(df: DataFrame, ref: str, base: str, out: str) -> DataFrame:
-    """:func:`resolve_url` as staged projections."""
+    """:func:`resolve_url` as a new column."""
     return with_steps(df, {"base": F.col(base), "ref": F.col(ref)}, _absolute_steps(), {out: "absolute"})
 
 
@@ -346,6 +349,7 @@ def resolve_link(url: Column, base: Column) -> Column:
     return as_column({"url": url, "base": base}, steps)
 
 
+@cache
 def _image_steps() -> list[Step]:
     """Root-relative sources join the host, other relative ones the page."""
     def base(g: Lookup) -> Column:
@@ -371,7 +375,7 @@ def resolve_image(src: Column, page_url: Column) -> Column:
 
 
 def with_image_url(df: DataFrame, src: str = "src", page_url: str = "page_url", out: str = "image_url") -> DataFrame:
-    """:func:`resolve_image` as staged projections."""
+    """:func:`resolve_image` as a new column."""
     return with_steps(df, {"src": F.col(src), "page_url": F.col(page_url)}, _image_steps(), {out: "image_url"})
 
 

@@ -68,4 +68,4 @@ def drop_null_urls(links: DataFrame, url: str = "url") -> DataFrame:
 
 def normalized_links(links: DataFrame, **options) -> DataFrame:
     """``extract_links`` rows with ``url`` = normal form of ``href``; filtered links go."""
-    return drop_null_urls(with_normalized_url(links, "href", "page_url", "url", **options))
+    return with_normalized_url(links, "href", "page_url", "url", drop_filtered=True, **options)

@@ -50,8 +50,8 @@ def sink_summary(summary: DataFrame, path: str, fmt: str = "parquet") -> None:
 
 def sink_sections(sections: DataFrame, path: str) -> None:
     """``{domain: {section: [urls]}}`` as JSON text lines, a folder per domain."""
-    rows = sections_json(sections).select("domain", F.col("json").alias("value"))
-    _placed(rows, ["domain"]).write.mode("overwrite").partitionBy("domain").text(path)
+    rows = _placed(sections_json(sections), ["domain", "part"])
+    rows.select("domain", F.col("json").alias("value")).write.mode("overwrite").partitionBy("domain").text(path)
 
 
 def sink_embeddings(rows: DataFrame, path: str) -> bool:
