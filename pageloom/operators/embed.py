@@ -60,8 +60,8 @@ def explode_faces(embedded: DataFrame) -> DataFrame:
 
 
 def embedding_json(rows: DataFrame) -> DataFrame:
-    """Vectors as JSON array text."""
-    return rows.withColumn("embedding", F.to_json("embedding"))
+    """Vectors as JSON array text, each number written as a double."""
+    return rows.withColumn("embedding", F.to_json(F.col("embedding").cast("array<double>")))
 
 
 def embedding_array(rows: DataFrame) -> DataFrame:

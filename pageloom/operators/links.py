@@ -9,15 +9,16 @@ from pageloom.functions.labels import unescape_entities
 from pageloom.functions.urls import with_image_url, with_normalized_url
 
 # Comments, scripts and styles are matched first, so tags inside them are not
-# seen.  Every loop is possessive: one pass, no backtracking, no recursion,
-# whatever the page looks like.
+# seen.  Every loop is possessive and whatever is left open runs to the end of
+# the page: one pass, no backtracking, no recursion, whatever it looks like.
 _SKIPPED = r"<!--.*?(?:-->|\z)|<(?:script|style)\b.*?(?:</(?:script|style)\s*+>|\z)"
 _ATTRIBUTES = r"""[^>"']*+(?:(?:"[^"]*+"|'[^']*+')[^>"']*+)*+[^>]*+"""
 
 
 def _tags(html: Column, tag: str) -> Column:
     """Attribute texts of every ``tag``, in document order."""
-    pattern = rf"(?is){_SKIPPED}|<({tag}(?![^\s/>]){_ATTRIBUTES})>"
+    name = rf"{tag}(?![^\s/>])"
+    pattern = rf"(?is){_SKIPPED}|<({name}{_ATTRIBUTES})>|<{name}{_ATTRIBUTES}\z"
     found = F.regexp_extract_all(html, F.lit(pattern), F.lit(1))
     return F.filter(found, lambda t: t != "")
 

@@ -527,9 +527,16 @@ def _(spark, sf):
     return v.img_items(spark, sf).select("ord", hashes.perceptual_hash(F.col("px"), 8).alias("phash"))
 
 
-@query("embedding_json", "SELECT image_path, generate_subscripts(faces, 1) - 1 AS face_index, to_json(unnest(faces))::VARCHAR AS embedding FROM faces")
+@query("embedding_json", """SELECT image_path, i AS face_index, len(f) AS n, round(f[1], 6) AS first, round(f[64], 6) AS last
+    FROM (SELECT image_path, generate_subscripts(faces, 1) - 1 AS i, unnest(faces)::DOUBLE[] AS f FROM faces)""")
 def _(spark, sf):
-    return em.embedding_json(em.explode_faces(v.faces(spark, sf)))
+    rows = em.embedding_json(em.explode_faces(v.faces(spark, sf)))
+
+    def at(n: int):
+        return F.round(F.get_json_object("embedding", f"$[{n}]").cast("double"), 6)
+
+    return rows.select("image_path", "face_index", F.json_array_length("embedding").alias("n"),
+                       at(0).alias("first"), at(63).alias("last"))
 
 
 # -- nested data -----------------------------------------------------------
