@@ -21,7 +21,6 @@ from pageloom.operators import sections as sc
 from pageloom.plans import composites as cp
 from pageloom.plans import oracles as o
 from pageloom.plans import views as v
-from pageloom.session import scratch_root
 from pageloom.sources import images as im
 from pageloom.sources import scratch, sinks
 from pageloom.sources import tables as tb
@@ -41,10 +40,6 @@ def query(name: str, sql: str | None = None):
     return add
 
 
-def _new_dir(spark: SparkSession, label: str) -> str:
-    return scratch._new_path(spark.range(0), label)
-
-
 # -- sources ---------------------------------------------------------------
 
 @query("scan_seeds", r"SELECT ord, regexp_replace(domain, '^\s+|\s+$', '', 'g') AS domain FROM messy_seeds WHERE domain IS NOT NULL")
@@ -558,6 +553,16 @@ def _(spark, sf):
     return ln.extract_images(v.pages(spark, sf).withColumn("html", html)).select("page_id", "pos", "src")
 
 
+@query("extract_tags", """
+    SELECT page_id, 'a' AS kind, pos, href AS value FROM raw_links
+    UNION ALL SELECT page_id, 'img', 0, concat('/static/', page_id, '.jpg') FROM pages
+    UNION ALL SELECT page_id, 'img', 1, '' FROM pages
+    UNION ALL SELECT page_id, 'img', 2, concat('thumbs/', page_id, '.webp?a=1&b=2') FROM pages""")
+def _(spark, sf):
+    html = F.expr(_HTML.format(html="html").replace("''", "\\'"))
+    return ln.extract_tags(v.pages(spark, sf).withColumn("html", html)).select("page_id", "kind", "pos", "value")
+
+
 @query("face_explode", "SELECT image_path, generate_subscripts(faces, 1) - 1 AS face_index, round(unnest(faces)[1], 4) AS first FROM faces")
 def _(spark, sf):
     rows = em.explode_faces(v.faces(spark, sf))
@@ -700,7 +705,7 @@ def _stream(spark, sf, name, schema):
 @query("stream_discover", "SELECT DISTINCT page_id % 4 AS site, url FROM raw_normal WHERE url IS NOT NULL AND url <> ''")
 def _(spark, sf):
     arriving = _stream(spark, sf, "pages", tb.PAGES).withColumn("site", F.col("page_id") % 4)
-    out = _new_dir(spark, "stream")
+    out = scratch.new_path(spark, "stream")
     st.run_available(st.stream_discover(arriving), f"{out}/rows", f"{out}/state")
     return spark.read.schema("site long, url string").parquet(f"{out}/rows")
 
@@ -711,7 +716,7 @@ def _(spark, sf):
     tasks = _stream(spark, sf, "events", tb.EVENTS).select(
         F.when(kind == "view", "QUEUED").when(kind == "click", "IN_PROGRESS").when(kind == "error", "FAILED").otherwise("COMPLETED").alias("status"),
         F.col("value").alias("memory_mb"))
-    out = _new_dir(spark, "stream")
+    out = scratch.new_path(spark, "stream")
     st.run_available(st.stream_monitor(tasks), f"{out}/rows", f"{out}/state", "complete")
     rows = spark.read.parquet(f"{out}/rows")
     newest = rows.agg(F.max("batch")).first()[0]
@@ -721,7 +726,7 @@ def _(spark, sf):
 @query("stream_rate_audit", f"SELECT * FROM ({_WINDOWS}) WHERE window_end <= (SELECT max(ts) - INTERVAL '10 minutes' FROM events)")
 def _(spark, sf):
     log = _stream(spark, sf, "events", tb.EVENTS).select(F.col("ts").cast("timestamp").alias("ts"))
-    out = _new_dir(spark, "stream")
+    out = scratch.new_path(spark, "stream")
     st.run_available(st.stream_rate_audit(log, limit=1), f"{out}/rows", f"{out}/state")
     rows = spark.read.schema("window_start timestamp, window_end timestamp, n_requests long").parquet(f"{out}/rows")
     return rows.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
@@ -733,21 +738,21 @@ def _(spark, sf):
 @query("sink_report", """SELECT site, depth, concat('Depth Level ', depth) AS sheet, page_url, coalesce(image_url, '') AS image_url,
     strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts FROM report""")
 def _(spark, sf):
-    out = _new_dir(spark, "sink")
+    out = scratch.new_path(spark, "sink")
     sinks.sink_report(rp.join_pages_images(v.walked(spark, sf), v.walked_images(spark, sf)), out)
     return tb.read_report(spark, out).select("site", "depth", "sheet", "page_url", "image_url", "ts")
 
 
 @query("sink_summary", _SUMMARY.format(crawled="walked", report="report"))
 def _(spark, sf):
-    out = _new_dir(spark, "sink")
+    out = scratch.new_path(spark, "sink")
     sinks.sink_summary(rp.depth_summary(v.walked(spark, sf), v.walked_images(spark, sf)), out)
     return spark.read.parquet(out)
 
 
 @query("sink_sections", "SELECT domain, href AS url FROM section_folded")
 def _(spark, sf):
-    out = _new_dir(spark, "sink")
+    out = scratch.new_path(spark, "sink")
     sinks.sink_sections(sc.sections(v.section_links(spark, sf), v.SUFFIXES), out)
     doc = F.from_json("value", "map<string, map<string, array<string>>>")
     sections = spark.read.text(out).select(F.explode(doc).alias("domain", "sections"))
@@ -756,7 +761,7 @@ def _(spark, sf):
 
 @query("sink_embeddings", "SELECT image_path, generate_subscripts(faces, 1) - 1 AS face_index, round(unnest(faces)[1], 4) AS first FROM faces")
 def _(spark, sf):
-    out = _new_dir(spark, "sink")
+    out = scratch.new_path(spark, "sink")
     sinks.sink_embeddings(em.explode_faces(v.faces(spark, sf)), out)
     rows = em.embedding_array(tb.read_table(spark, out, "image_path string, face_index int, embedding string", "csv"))
     return rows.select("image_path", "face_index", F.round(F.col("embedding")[0], 4).alias("first"))
@@ -764,7 +769,7 @@ def _(spark, sf):
 
 @query("sink_dedup", "SELECT group_no, rank, ord, action FROM ranked")
 def _(spark, sf):
-    out = _new_dir(spark, "sink")
+    out = scratch.new_path(spark, "sink")
     sinks.sink_dedup(dd.dedup(v.hashed_items(spark, sf)), out)
     kept, dropped = spark.read.parquet(f"{out}/keep"), spark.read.parquet(f"{out}/drop")
     return kept.unionByName(dropped).select("group_no", "rank", "ord", "action")

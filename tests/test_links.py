@@ -3,7 +3,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from pageloom.functions import labels as lb
-from pageloom.operators.links import extract_images, extract_links
+from pageloom.operators.links import extract_images, extract_links, extract_tags, split_tags
 
 PAGE = """<!-- <a href="hidden"> --><script>var a = "<a href='hidden'>"</script><style><a href=hidden></style>
 <A class="x>y" HREF = 'a&amp;b&#39;&#x41;' t>q</a><a>none</a><a data-href="z" href=bare/x?y=1>k</a><abbr href="no">
@@ -20,6 +20,12 @@ def test_links_and_images(spark):
     assert [(r.pos, r.src) for r in extract_images(p).collect()] == [(0, "i.png"), (2, "y.png")]
 
 
+def test_one_pass_gives_the_same_links_and_images(spark):
+    p = _pages(spark, PAGE)
+    links, images = split_tags(extract_tags(p))
+    assert rows(links) == rows(extract_links(p)) and rows(images) == rows(extract_images(p))
+
+
 @pytest.mark.parametrize("html", [
     "<a " + '"" ' * 200_000 + "href=x>", "<a href='x" * 50_000, "<!--" * 100_000, "<script>" * 50_000, "<a " + "x" * 500_000, "&#" * 100_000,
 ])

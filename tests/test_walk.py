@@ -168,3 +168,19 @@ def test_fixture_walk_has_the_known_depths(spark, sf):
     crawl = walk(spark, sf)
     n = {r.depth: r.n for r in crawl.crawled.groupBy("depth").agg(F.count("*").alias("n")).collect()}
     assert n[0] == 4 and n[1] == 16 and sum(n.values()) == v.site_pages(spark, sf).count() + 4
+
+
+def test_scratch_tables_can_be_removed(tmp_path, spark):
+    from pathlib import Path
+
+    from pageloom.sources import scratch
+    path = scratch.new_path(spark, "x")
+    spark.range(3).write.parquet(path)
+    # only the folder of this table: other tests still read theirs
+    root = scratch._folder
+    scratch._folder = lambda s: path
+    try:
+        scratch.clear(spark)
+    finally:
+        scratch._folder = root
+    assert not Path(path.removeprefix("file:")).exists()
