@@ -680,10 +680,18 @@ def _(spark, sf):
     return lg.rate_audit(v.events(spark, sf), limit=1)
 
 
-@query("task_monitor", """SELECT status, count(*) AS n, count(end_time) AS n_ended, round(max(peak_mb), 4) AS peak_mb FROM task_log GROUP BY 1""")
+@query("task_monitor", """
+    SELECT 'total' AS name, count(*) AS n FROM task_log
+    UNION ALL SELECT 'active', count(*) FILTER (WHERE status = 'IN_PROGRESS') FROM task_log
+    UNION ALL SELECT 'completed', count(*) FILTER (WHERE status = 'COMPLETED') FROM task_log
+    UNION ALL SELECT 'failed', count(*) FILTER (WHERE status = 'FAILED') FROM task_log
+    UNION ALL SELECT name, 1 FROM (SELECT task_id AS name FROM task_log
+      ORDER BY status <> 'IN_PROGRESS', status <> 'QUEUED', end_time NULLS LAST, start_time, task_id LIMIT 15)""")
 def _(spark, sf):
-    return v.task_log(spark, sf).groupBy("status").agg(
-        F.count("*").alias("n"), F.count("end_time").alias("n_ended"), F.round(F.max("peak_mb"), 4).alias("peak_mb"))
+    totals, top = lg.task_monitor(v.task_log(spark, sf))
+    states = totals.selectExpr(
+        "stack(4, 'total', total, 'active', active, 'completed', completed, 'failed', failed) AS (name, n)")
+    return states.unionAll(top.select("task_id", F.lit(1).cast("long")))
 
 
 @query("throttle_codes", f"""SELECT regexp_extract(url, '^https://[^/]+') AS site, count(*) AS n_responses,
@@ -743,6 +751,13 @@ def _(spark, sf):
     return tb.read_report(spark, out).select("site", "depth", "sheet", "page_url", "image_url", "ts")
 
 
+@query("sink_pages", "SELECT site, depth, url, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts FROM walked")
+def _(spark, sf):
+    out = scratch.new_path(spark, "sink")
+    sinks.sink_pages(v.walked(spark, sf), out)
+    return spark.read.parquet(out).select("site", "depth", "url", "ts")
+
+
 @query("sink_summary", _SUMMARY.format(crawled="walked", report="report"))
 def _(spark, sf):
     out = scratch.new_path(spark, "sink")

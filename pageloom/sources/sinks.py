@@ -43,6 +43,12 @@ def sink_report(report: DataFrame, path: str, fmt: str = "parquet", partition_by
     rows.write.mode("overwrite").partitionBy(*partition_by).format(fmt).options(**_options(fmt)).save(path)
 
 
+def sink_pages(crawled: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = ("site", "depth")) -> None:
+    """The report without images: address and time of every crawled page."""
+    rows = _placed(crawled, ["site", "depth", "trail"]).select("site", "depth", "url", format_ts(F.col("ts")).alias("ts"))
+    rows.write.mode("overwrite").partitionBy(*partition_by).format(fmt).options(**_options(fmt)).save(path)
+
+
 def sink_summary(summary: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Depth and totals rows of every site."""
     _placed(summary, ["site", "depth"]).write.mode("overwrite").format(fmt).options(**_options(fmt)).save(path)
