@@ -84,7 +84,7 @@ def with_steps(df: DataFrame, inputs: Mapping[str, Column], steps: Sequence[Step
     layers again.  Rows whose text ``required`` is null or empty are left out.
     """
     def tmp(name: str) -> str:
-        return f"__{name}"
+        return f"__step_{name}"
 
     @cache
     def get(name: str) -> Column:

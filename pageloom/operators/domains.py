@@ -99,6 +99,22 @@ def exclude_external(links: DataFrame, url: str = "url", page_domain: str = "mai
     return own.filter(F.lower("__own") == F.lower(page_domain)).drop("__own")
 
 
+def keep_same_domain(links: DataFrame, url: str, page_url: str, suffixes: DataFrame | Sequence[str]) -> DataFrame:
+    """:func:`exclude_external` for links that carry the address of their page.
+
+    Most links stay on their host, which settles them; only the others have
+    their main domains compared.
+    """
+    listed = _small_list(suffixes) if isinstance(suffixes, DataFrame) else list(suffixes)
+    if not listed:
+        with_page = with_main_domain(links, page_url, suffixes, "__page_domain")
+        return exclude_external(with_page, url, "__page_domain", suffixes).drop("__page_domain")
+    both = with_url_parts(with_url_parts(links, url, "__u_", ["netloc"]), page_url, "__p_", ["netloc"])
+    own, page = (F.lower(host(F.col(c))) for c in ("__u_netloc", "__p_netloc"))
+    same = (own == page) | (main_domain(own, listed) == main_domain(page, listed))
+    return both.filter(same).drop("__u_netloc", "__p_netloc")
+
+
 def exclude_social(links: DataFrame, social: DataFrame | Iterable[str], url: str = "url",
                    suffixes: DataFrame | Sequence[str] = ()) -> DataFrame:
     """Links that do not lead to one of the listed social-media domains."""

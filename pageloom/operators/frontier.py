@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from pageloom.functions import fixed
 from pageloom.functions.urls import with_normalized_url
-from pageloom.operators.domains import exclude_external, exclude_social, with_main_domain
+from pageloom.operators.domains import exclude_social, keep_same_domain
 from pageloom.operators.links import absolute_images, extract_images, extract_links, filter_image_src, normalized_links
 from pageloom.operators.ranking import with_row_number
 from pageloom.sources.scratch import materialise, materialise_bucketed
@@ -69,8 +69,7 @@ def build_snapshot(pages: DataFrame, links: DataFrame | None = None, *, suffixes
         found = links.join(pages.select("page_id", F.col("url").alias("page_url")), "page_id")
     edges = normalized_links(found, **options)
     if suffixes is not None:
-        edges = with_main_domain(edges, "page_url", suffixes, "__page_domain")
-        edges = exclude_external(edges, "url", "__page_domain", suffixes)
+        edges = keep_same_domain(edges, "url", "page_url", suffixes)
     if social is not None:
         edges = exclude_social(edges, social, "url", suffixes or ())
     edges = materialise_bucketed(

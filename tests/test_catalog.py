@@ -8,6 +8,7 @@ import pytest
 
 import __spark_entry__ as entry_module
 from pageloom.operators import report as rp
+from pageloom.plans import composites as cp
 from pageloom.plans import views as v
 from pageloom.sources import sinks
 from pageloom.sources import tables as tb
@@ -23,6 +24,22 @@ def duck(sf):
     return con
 
 
+@pytest.fixture(scope="module", autouse=True)
+def shared_walks():
+    """Queries over the same walk share it; each walk is still made by the code under test."""
+    made, walk = {}, cp.walk
+
+    def once(spark, sf, limits=None, depth=v.WALK_DEPTH):
+        key = (sf, str(limits), depth)
+        if key not in made:
+            made[key] = walk(spark, sf, limits, depth)
+        return made[key]
+
+    cp.walk = once
+    yield
+    cp.walk = walk
+
+
 def _plain(value):
     return round(value, 9) if isinstance(value, float) and math.isfinite(value) else value
 

@@ -55,7 +55,7 @@ def _items(seed, n, t):
     return [(i, p, a) for i, (p, a) in enumerate(pool)]
 
 
-@pytest.mark.parametrize("t,slice_size", [(0, 100), (1, 1000), (3, 40), (5, 1000), (5, 25), (8, 60)])
+@pytest.mark.parametrize("t,slice_size", [(0, 100), (1, 1000), (5, 25), (8, 60)])
 def test_leader_groups_equal_one_by_one(spark, t, slice_size, monkeypatch):
     monkeypatch.setattr(dd, "SMALLEST_SLICE", 10)
     items = _items(t * 7 + slice_size, 160, t)
@@ -82,7 +82,7 @@ def test_threshold_of_all_characters_gives_one_group(spark):
     assert rows(dd.leader_groups(df, 16).select("leader_ord", "group_no").distinct()) == [(0, 1)]
 
 
-@pytest.mark.parametrize("t", [0, 2, 5, 11, 15])
+@pytest.mark.parametrize("t", [0, 5, 15])
 def test_similar_pairs_equal_brute_force(spark, t):
     items = _items(t, 90, t)
     df = spark.createDataFrame(items, "ord long, phash string, ahash string")

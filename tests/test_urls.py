@@ -122,3 +122,14 @@ def test_internal_and_external_links(spark):
     assert rows(dm.exclude_external(df, "href", suffixes=["com"]).select("href")) == [("https://x.com/a",)]
     assert rows(dm.exclude_social(df, ["y.com"], "href", ["com"]).select("href")) == [
         ("/c",), ("https://notx.com/b",), ("https://x.com/a",)]
+
+
+def test_same_domain_agrees_with_comparing_every_domain(spark, monkeypatch):
+    pages = ["https://a.x.com/p", "https://y.co.uk", "http://lone/"]
+    urls = ["https://x.com/1", "https://A.x.com/2", "https://b.x.com:8/3", "https://x.org/4", "http://www.y.co.uk/5", "http://lone/6", "/7"]
+    df = spark.createDataFrame([(u_, p) for u_ in urls for p in pages], "url string, page_url string")
+    rules = spark.createDataFrame([(s,) for s in ["com", "org", "uk", "co.uk"]], "suffix string")
+    want = [(u_, p) for u_, p in [(urls[0], pages[0]), (urls[1], pages[0]), (urls[2], pages[0]), (urls[4], pages[1]), (urls[5], pages[2])]]
+    assert rows(dm.keep_same_domain(df, "url", "page_url", rules)) == sorted(want, key=repr)
+    monkeypatch.setattr(dm, "MAX_INLINE_SUFFIXES", 1)
+    assert rows(dm.keep_same_domain(df, "url", "page_url", rules).select("url", "page_url")) == sorted(want, key=repr)
