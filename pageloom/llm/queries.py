@@ -5,14 +5,36 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pageloom.llm import decontaminate, jaccard_join, quality_gam
+from pageloom.llm import decontaminate, jaccard_join, mixing, quality_gam, sharding
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Domain of each source of the tables; other sources belong to "other".
+DOMAINS = {"web": range(0, 5), "news": range(5, 10), "books": range(10, 15), "forums": range(15, 20)}
+WEIGHTS = {
+    "domain": {"web": 0.4, "news": 0.25, "books": 0.2, "forums": 0.15, "other": 0.05},
+    "lang": {"en": 0.5, "de": 0.2, "fr": 0.2, "es": 0.1},
+}
+
+
+def with_domain(docs: DataFrame) -> DataFrame:
+    """Documents with the domain of their source."""
+    domain = F.lit("other")
+    for name, numbers in DOMAINS.items():
+        domain = F.when(F.col("source").isin([f"src{k}" for k in numbers]), name).otherwise(domain)
+    return docs.withColumn("domain", domain)
+
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and tokens taken from each leaf of the domain, language and source tree."""
+    return mixing.mix(with_domain(table(spark, sf_dir, "documents")), WEIGHTS)
+
+
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class and number of links of every document."""
     return jaccard_join.join(table(spark, sf_dir, "documents"))
@@ -23,14 +45,21 @@ def op5_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_gam.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document."""
+    return sharding.assign(table(spark, sf_dir, "documents"))
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items held in documents, with their exact containment."""
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_mixing": op3_mixing,
     "op4_jaccard_join": op4_jaccard_join,
     "op5_quality_gam": op5_quality_gam,
+    "op6_sharding": op6_sharding,
     "op8_decontaminate": op8_decontaminate,
 }
 
