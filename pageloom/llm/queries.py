@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pageloom.llm import decontaminate, jaccard_join, mixing, quality_gam, sharding
+from pageloom.llm import decontaminate, jaccard_join, mixing, quality_gam, quality_rules, sharding
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,6 +50,12 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(table(spark, sf_dir, "documents"))
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of every document and the verdict of the weighed rules."""
+    columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "posterior", "base_failed", "kept"]
+    return quality_rules.judge(table(spark, sf_dir, "documents")).select(*columns)
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items held in documents, with their exact containment."""
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -60,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_jaccard_join": op4_jaccard_join,
     "op5_quality_gam": op5_quality_gam,
     "op6_sharding": op6_sharding,
+    "op7_quality_rules": op7_quality_rules,
     "op8_decontaminate": op8_decontaminate,
 }
 
