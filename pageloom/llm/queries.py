@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pageloom.llm import decontaminate, jaccard_join, mixing, quality_gam, quality_rules, sharding
+from pageloom.llm import decontaminate, jaccard_join, mixing, quality_gam, quality_rules, sharding, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,10 @@ WEIGHTS = {
 }
 
 
+#: Verdict, host and path.
+URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/")]
+
+
 def with_domain(docs: DataFrame) -> DataFrame:
     """Documents with the domain of their source."""
     domain = F.lit("other")
@@ -30,6 +34,12 @@ def with_domain(docs: DataFrame) -> DataFrame:
     return docs.withColumn("domain", domain)
 
 
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every page's URL."""
+    model = url_filter.train(url_filter.default_table(spark))
+    return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES, model)
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents and tokens taken from each leaf of the domain, language and source tree."""
     return mixing.mix(with_domain(table(spark, sf_dir, "documents")), WEIGHTS)
@@ -62,6 +72,7 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_url_filter": op2_url_filter,
     "op3_mixing": op3_mixing,
     "op4_jaccard_join": op4_jaccard_join,
     "op5_quality_gam": op5_quality_gam,
