@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pageloom.llm import decontaminate, jaccard_join, mixing, quality_gam, quality_rules, sharding, url_filter
+from pageloom.llm import decontaminate, jaccard_join, mixing, pii, quality_gam, quality_rules, sharding, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +34,11 @@ def with_domain(docs: DataFrame) -> DataFrame:
     return docs.withColumn("domain", domain)
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data and disclosing terms of every document."""
+    return pii.digest(pii.find(table(spark, sf_dir, "documents")))
+
+
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Host, path, rule and verdict of every page's URL."""
     model = url_filter.train(url_filter.default_table(spark))
@@ -72,6 +77,7 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pii": op1_pii,
     "op2_url_filter": op2_url_filter,
     "op3_mixing": op3_mixing,
     "op4_jaccard_join": op4_jaccard_join,
