@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pageloom.llm import decontaminate, jaccard_join, mixing, pii, quality_gam, quality_rules, sharding, url_filter
+from pageloom.llm import decontaminate, jaccard_join, mixing, pii, quality_gam, quality_rules, sharding, token_store, url_filter
+from pageloom.sources import scratch
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -76,6 +77,14 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place, number and checksum of every document's token ids, read back from the files."""
+    import public_tokenizers
+
+    path = scratch.new_path(spark, "token-ids")
+    return token_store.read(token_store.write(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_url_filter": op2_url_filter,
@@ -85,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_sharding": op6_sharding,
     "op7_quality_rules": op7_quality_rules,
     "op8_decontaminate": op8_decontaminate,
+    "op9_token_store": op9_token_store,
 }
 
 _SHINGLES = """
