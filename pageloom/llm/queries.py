@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pageloom.llm import decontaminate, jaccard_join, mixing, pii, quality_gam, quality_rules, sharding, token_store, url_filter
+from pageloom.llm import decontaminate, jaccard_join, mixing, pii, quality_gam, quality_rules, recurrent_lm, sharding, token_store, url_filter
 from pageloom.sources import scratch
 
 
@@ -85,6 +85,11 @@ def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read(token_store.write(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json")))
 
 
+def op10_recurrent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every document under the counts and under the recurrent model."""
+    return recurrent_lm.score(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_url_filter": op2_url_filter,
@@ -95,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_quality_rules": op7_quality_rules,
     "op8_decontaminate": op8_decontaminate,
     "op9_token_store": op9_token_store,
+    "op10_recurrent_lm": op10_recurrent_lm,
 }
 
 _SHINGLES = """
