@@ -9,12 +9,13 @@ Other URLs are judged by the model.  Host and path each give character 3- to
 5-grams (with ``^`` and ``$`` at the ends) whose hashes pick weights out of
 ``BUCKETS``; the score is the logistic of an intercept and the mean of the
 weights of the grams, scaled by the square root of their number.  Gradient
-descent over a small labelled table, one aggregation a step, fits the weights:
-the table is the operator's argument, its size the caller's choice, and the
+descent over a small labelled table, one aggregation a step, fits the weights;
+the intercept is a stated prior, of which a table written by hand says nothing.
+The table is the operator's argument, its size the caller's choice, and the
 weights have a fixed number.  Scoring is one pass without a shuffle.
 
 A null URL and one without ``://`` have empty host and path, no n-grams, and the
-verdict of the intercept alone.  Repeated pages are judged each for itself.
+verdict of the prior: allow.  Repeated pages are judged each for itself.
 """
 
 from __future__ import annotations
@@ -31,6 +32,7 @@ BUCKETS = 1 << 12
 SIZES = (3, 4, 5)
 STEPS, RATE, DECAY = 30, 4.0, 1e-3
 BLOCK = 0.5
+PRIOR = 0.2  # share of addresses to block where nothing else is known
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 #: Verdict, host and path of each rule.
@@ -95,22 +97,17 @@ def train(labelled: DataFrame) -> Model:
     rows = labelled.select(F.col("url").alias("url"), F.col("label").cast("int").alias("label")).filter("url is not null and label in (0, 1)")
     rows = scratch.materialise(with_grams(rows).select("label", "grams"), "urls")
     n, ones = rows.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
-    base = (ones + 1) / (n + 2)
-    model = Model(math.log(base / (1 - base)), [0.0] * BUCKETS)
+    model = Model(math.log(PRIOR / (1 - PRIOR)), [0.0] * BUCKETS)
     if not 0 < ones < n:
         return model
     norm = F.sqrt(F.greatest(F.size("grams"), F.lit(1)))
     for _ in range(STEPS):
-        wrong = rows.select((F.col("label") - model.score(F.col("grams"))).alias("wrong"), norm.alias("norm"), F.explode(F.array_append("grams", F.lit(BUCKETS))).alias("g"))
-        slopes = wrong.groupBy("g").agg(F.sum(F.when(F.col("g") == BUCKETS, F.col("wrong")).otherwise(F.col("wrong") / F.col("norm"))).alias("d"))
+        wrong = rows.select((F.col("label") - model.score(F.col("grams"))).alias("wrong"), norm.alias("norm"), F.explode("grams").alias("g"))
+        slopes = wrong.groupBy("g").agg(F.sum(F.col("wrong") / F.col("norm")).alias("d"))
         weights = [w * (1 - DECAY) for w in model.weights]
-        intercept = model.intercept
-        for g, d in slopes.collect():  # at most one row per bucket and one for the intercept
-            if g == BUCKETS:
-                intercept += RATE * d / n
-            else:
-                weights[g] += RATE * d / n
-        model = Model(intercept, weights)
+        for g, d in slopes.collect():  # at most one row per bucket
+            weights[g] += RATE * d / n
+        model = Model(model.intercept, weights)
     return model
 
 
