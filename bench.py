@@ -17,7 +17,7 @@ from pageloom.session import local_session
 HEADLINE = [
     "links_per_domain", "normalize_url", "section_report", "crawl_frontier", "crawl_limited", "depth_summary",
     "download_manifest", "perceptual_hash", "leader_groups", "similar_pairs", "dedup_images", "embed_images",
-    "fetch_outcome", "rate_audit", "stream_discover", "stream_rate_audit",
+    "fetch_outcome", "rate_audit", "stream_discover", "stream_rate_audit", "harvest_images", "full_chain", "sink_report",
 ]
 
 

@@ -40,6 +40,13 @@ def manifest_folder(sheet: Column, base_folder: str = fixed.BASE_FOLDER) -> Colu
     return F.concat_ws("/", F.lit(base_folder.rstrip("/")), sheet)
 
 
+def site_part(site: Column) -> Column:
+    """A site as one folder name; different sites stay different."""
+    for char, code in (("%", "%25"), ("/", "%2F"), (":", "%3A")):
+        site = F.replace(site, F.lit(char), F.lit(code))
+    return site
+
+
 def format_ts(ts: Column) -> Column:
     return F.date_format(ts, TIME_PATTERN)
 
@@ -79,25 +86,22 @@ def _code_point(digits: Column, base: int) -> Column:
     return F.when(valid, F.decode(F.unhex(F.lpad(value, 8, "0")), "UTF-32")).otherwise(F.lit("�"))
 
 
-def unescape_entities(text: Column) -> Column:
-    """Replace numeric character references and the basic named ones."""
+_ENTITY = r"&(?:#[0-9]++|#[xX][0-9A-Fa-f]++|lt|gt|quot|apos|nbsp|amp);"
 
-    def numeric(text: Column, pattern: str, base: int) -> Column:
-        refs = F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)))
-        lead = "&#x" if base == 16 else "&#"
 
-        def put(done: Column, digits: Column) -> Column:
-            char = _code_point(digits, base)
-            done = F.replace(done, F.concat(F.lit(lead), digits, F.lit(";")), char)
-            return F.replace(done, F.concat(F.lit("&#X"), digits, F.lit(";")), char) if base == 16 else done
+def unescape_entities(text: Column) -> Column:
+    """Replace numeric character references and the basic named ones, each once and from left to right."""
 
-        return F.when(F.contains(text, F.lit("&#")), F.aggregate(refs, text, put)).otherwise(text)
+    def put(ref: Column) -> Column:
+        out = F.when(F.startswith(F.lower(ref), F.lit("&#x")), _code_point(F.regexp_extract(ref, "[xX]([0-9A-Fa-f]+)", 1), 16))
+        out = out.when(F.startswith(ref, F.lit("&#")), _code_point(F.regexp_extract(ref, "([0-9]+)", 1), 10))
+        for name, char in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("apos", "'"), ("nbsp", "\u00a0")):
+            out = out.when(ref == f"&{name};", char)
+        return out.otherwise("&")
 
-    def named(text: Column) -> Column:
-        for name, char in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("apos", "'"), ("nbsp", " "), ("amp", "&")):
-            text = F.replace(text, F.lit(f"&{name};"), F.lit(char))
-        return text
+    def join(t: Column) -> Column:
+        pieces = F.split(t, _ENTITY, -1)
+        refs = F.regexp_extract_all(t, F.lit(_ENTITY), F.lit(0))
+        return F.array_join(F.zip_with(pieces, refs, lambda piece, ref: F.when(ref.isNull(), piece).otherwise(F.concat(piece, put(ref)))), "")
 
-    done = F.transform(F.array(text), lambda t: numeric(t, "&#([0-9]+);", 10))
-    done = F.transform(done, lambda t: named(numeric(t, "&#[xX]([0-9A-Fa-f]+);", 16)))
-    return F.when(F.contains(text, F.lit("&")), done[0]).otherwise(text)
+    return F.when(F.contains(text, F.lit("&")), join(text)).otherwise(text)

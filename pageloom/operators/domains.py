@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 
 from pageloom.functions.urls import host, with_url_parts
 
-# The public suffix list has about ten thousand rules; a larger table is joined.
-MAX_INLINE_SUFFIXES = 20_000
-
 
 def _candidates(name: Column) -> Column:
     """``a.b.c`` -> [a.b.c, b.c, c]: possible suffixes, longest first."""
@@ -52,30 +49,41 @@ def main_domain(url_host: Column, suffixes: Sequence[str]) -> Column:
     return F.transform(F.array(longest), lambda s: _with_label(url_host, s))[0]
 
 
-def _small_list(suffixes: DataFrame) -> list[str] | None:
-    """The suffixes when there are few enough to carry in the plan."""
-    rows = suffixes.select("suffix").distinct().limit(MAX_INLINE_SUFFIXES + 1).collect()
-    return None if len(rows) > MAX_INLINE_SUFFIXES else [r.suffix for r in rows]
+def _rules(suffixes: DataFrame) -> DataFrame:
+    """``(name, kind)``: plain suffixes, names below which every label is one, and exceptions with the suffix they leave."""
+    rule = suffixes.select(F.lower(F.trim("suffix")).alias("r")).filter("r <> ''")
+    kind = F.when(F.startswith("r", F.lit("*.")), F.array(F.struct(F.substr("r", F.lit(3)).alias("name"), F.lit("wild").alias("kind"))))
+    kind = kind.when(F.startswith("r", F.lit("!")), F.array(
+        F.struct(F.substr("r", F.lit(2)).alias("name"), F.lit("except").alias("kind")),
+        F.struct(F.substr("r", F.instr("r", ".") + 1).alias("name"), F.lit("left").alias("kind"))))
+    kind = kind.otherwise(F.array(F.struct(F.col("r").alias("name"), F.lit("plain").alias("kind"))))
+    return rule.select(F.inline(kind)).distinct()
 
 
 def suffix_match(hosts: DataFrame, suffixes: DataFrame) -> DataFrame:
-    """``(host) -> (host, suffix, main_domain)`` by joining exploded host suffixes."""
+    """``(host) -> (host, suffix, main_domain)`` by joining the suffixes of distinct hosts with the rules.
+
+    The rules are those of :func:`main_domain`, for a list of any length.
+    """
     names = hosts.select("host").distinct()
-    exploded = names.select("host", F.explode(_candidates(F.lower("host"))).alias("suffix"))
-    longest = (
-        exploded.join(suffixes.select(F.lower("suffix").alias("suffix")).distinct(), "suffix")
-        .groupBy("host").agg(F.max_by("suffix", F.length("suffix")).alias("suffix"))
-    )
+    own = names.select("host", F.explode(_candidates(F.lower("host"))).alias("suffix"))
+    parent = F.when(F.contains("suffix", F.lit(".")), F.substr("suffix", F.instr("suffix", ".") + 1))
+    keys = own.select("host", "suffix", F.col("suffix").alias("name"), F.lit(False).alias("above")).unionAll(
+        own.select("host", "suffix", parent.alias("name"), F.lit(True)).filter("name is not null"))
+    fits = keys.join(_rules(suffixes), "name").filter("above = (kind = 'wild')").groupBy("host", "suffix").agg(
+        F.bool_or(F.col("kind").isin("plain", "wild")).alias("listed"), F.bool_or(F.col("kind") == "except").alias("excepted"),
+        F.bool_or(F.col("kind") == "left").alias("left"))
+    longest = fits.filter("(listed and not excepted) or left").groupBy("host").agg(F.max_by("suffix", F.length("suffix")).alias("suffix"))
     return names.join(longest, "host", "left").withColumn("main_domain", _with_label(F.col("host"), F.col("suffix")))
 
 
 def with_main_domain(df: DataFrame, url_col: str, suffixes: DataFrame | Sequence[str], out: str = "main_domain") -> DataFrame:
     """Add the main domain of ``url_col``.
 
-    Short lists are carried in the expression; longer ones are matched once per
-    distinct host and joined back.
+    A sequence travels in the expression; a table, of any length, is matched once
+    per distinct host and joined back.  Both read the rules alike.
     """
-    listed = _small_list(suffixes) if isinstance(suffixes, DataFrame) else list(suffixes)
+    listed = None if isinstance(suffixes, DataFrame) else list(suffixes)
     df = with_url_parts(df, url_col, "__d_", ["netloc"]).withColumn("__host", host(F.col("__d_netloc")))
     if listed is not None:
         done = df.withColumn(out, main_domain(F.col("__host"), listed) if listed else F.col("__host"))
@@ -105,7 +113,7 @@ def keep_same_domain(links: DataFrame, url: str, page_url: str, suffixes: DataFr
     Most links stay on their host, which settles them; only the others have
     their main domains compared.
     """
-    listed = _small_list(suffixes) if isinstance(suffixes, DataFrame) else list(suffixes)
+    listed = None if isinstance(suffixes, DataFrame) else list(suffixes)
     if not listed:
         with_page = with_main_domain(links, page_url, suffixes, "__page_domain")
         return exclude_external(with_page, url, "__page_domain", suffixes).drop("__page_domain")
@@ -120,6 +128,11 @@ def exclude_social(links: DataFrame, social: DataFrame | Iterable[str], url: str
     """Links that do not lead to one of the listed social-media domains."""
     if not isinstance(social, DataFrame):
         social = links.sparkSession.createDataFrame([(s,) for s in social], "domain string")
+    names = social.select(F.lower("domain").alias("__social")).distinct()
+    if not isinstance(suffixes, DataFrame) and not list(suffixes):
+        # Without a suffix list a host belongs to every listed name it ends with.
+        parts = with_url_parts(links, url, "__s_", ["netloc"]).withColumn("__host", F.lower(host(F.col("__s_netloc"))))
+        listed = parts.select("__host").distinct().select("__host", F.explode(_candidates(F.col("__host"))).alias("__social"))
+        return parts.join(listed.join(names, "__social", "left_semi"), "__host", "left_anti").select(*links.columns)
     own = with_main_domain(links, url, suffixes, "__own")
-    names = social.select(F.lower("domain").alias("__social"))
     return own.join(names, F.lower(own["__own"]) == names["__social"], "left_anti").drop("__own")

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pageloom.functions import fixed
@@ -19,8 +19,6 @@ from pageloom.sources.scratch import materialise, materialise_bucketed
 # Links of one page are stored in blocks of this many, so that a page with very
 # many links spreads over buckets.
 LINK_BLOCK = 10_000
-# Up to this many rows per site a level is cut by a window with a group limit.
-WINDOW_LIMIT = 10_000
 
 
 @dataclass(frozen=True)
@@ -55,11 +53,13 @@ def page_key(df: DataFrame, url: str, out: str) -> DataFrame:
     return with_normalized_url(df, url, url, out).withColumn(out, F.coalesce(out, url))
 
 
-def build_snapshot(pages: DataFrame, links: DataFrame | None = None, *, suffixes=None, social=None, **options) -> Snapshot:
+def build_snapshot(pages: DataFrame, links: DataFrame | None = None, *, suffixes=None, social=None, same_site: bool = True, **options) -> Snapshot:
     """Normalise pages and links once, before the walk.
 
     ``pages`` is ``(page_id, url, html)`` with an optional ``ts``.  ``links``
-    ``(page_id, pos, href)`` replaces extraction from ``html``.
+    ``(page_id, pos, href)`` replaces extraction from ``html``.  Links that leave
+    the site go: another main domain with ``suffixes``, another host without;
+    ``same_site=False`` keeps them.
     """
     if "ts" not in pages.columns:
         pages = pages.withColumn("ts", F.lit(None).cast("timestamp"))
@@ -68,10 +68,10 @@ def build_snapshot(pages: DataFrame, links: DataFrame | None = None, *, suffixes
     else:
         found = links.join(pages.select("page_id", F.col("url").alias("page_url")), "page_id")
     edges = normalized_links(found, **options)
-    if suffixes is not None:
-        edges = keep_same_domain(edges, "url", "page_url", suffixes)
+    if same_site:
+        edges = keep_same_domain(edges, "url", "page_url", () if suffixes is None else suffixes)
     if social is not None:
-        edges = exclude_social(edges, social, "url", suffixes or ())
+        edges = exclude_social(edges, social, "url", () if suffixes is None else suffixes)
     edges = materialise_bucketed(
         edges.select("page_id", F.floor(F.col("pos") / LINK_BLOCK).cast("int").alias("block"),
                      F.col("pos").cast("int").alias("pos"), F.col("url").alias("link")),
@@ -89,8 +89,11 @@ def build_snapshot(pages: DataFrame, links: DataFrame | None = None, *, suffixes
 def level_limits(limits, max_depth: int) -> list[int | None]:
     """Limits per depth as a list; depth 0 and unset depths are unlimited."""
     if isinstance(limits, DataFrame):
-        rows = limits.filter(F.col("depth").between(0, max_depth)).limit(max_depth + 1).collect()
-        by_depth = {r["depth"]: r["max_urls"] for r in rows}
+        wanted = limits.filter(F.col("depth").between(0, max_depth))
+        rows = wanted.groupBy("depth").agg(F.collect_set(F.coalesce(F.col("max_urls").cast("string"), F.lit("all"))).alias("values")).collect()
+        if torn := sorted(r["depth"] for r in rows if len(r["values"]) > 1):
+            raise ValueError(f"conflicting limits for depth {', '.join(map(str, torn))}")
+        by_depth = {r["depth"]: "all" if r["values"][0] == "all" else int(r["values"][0]) for r in rows}
     else:
         by_depth = dict(enumerate(limits or []))
     by_depth[0] = None
@@ -105,9 +108,6 @@ def limit_per_depth(level: DataFrame, max_urls: int | None, order: str = "trail"
     """First ``max_urls`` rows of each site in discovery order."""
     if max_urls is None:
         return level
-    if max_urls <= WINDOW_LIMIT:
-        first = F.row_number().over(Window.partitionBy("site").orderBy(order))
-        return level.withColumn("__n", first).filter(F.col("__n") <= max_urls).drop("__n")
     return with_row_number(level, ["site"], [order], "__n").filter(F.col("__n") <= max_urls).drop("__n")
 
 

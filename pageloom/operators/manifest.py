@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pageloom.functions import fixed
-from pageloom.functions.labels import depth_sheet, extract_depth, is_depth_sheet, manifest_folder, manifest_name
+from pageloom.functions.labels import depth_sheet, extract_depth, is_depth_sheet, manifest_folder, manifest_name, site_part
 from pageloom.operators.ranking import with_row_number
 from pageloom.operators.report import REPORT_ORDER
 
@@ -33,7 +33,8 @@ def download_manifest(report_rows: DataFrame, base_folder: str = fixed.BASE_FOLD
                       order: Sequence[str] = tuple(REPORT_ORDER)) -> DataFrame:
     """``(site, depth, row_num, url, filename, folder)`` of every image to fetch.
 
-    Rows are numbered over the whole sheet before empty ones go.
+    Rows are numbered over the whole sheet before empty ones go.  The folder
+    names the site, so no two images share a target.
     """
     if "sheet" not in report_rows.columns:
         report_rows = report_rows.withColumn("sheet", depth_sheet(F.col("depth")))
@@ -42,14 +43,14 @@ def download_manifest(report_rows: DataFrame, base_folder: str = fixed.BASE_FOLD
     return filter_manifest(numbered).select(
         "site", depth.alias("depth"), "row_num", F.col("image_url").alias("url"),
         F.concat(manifest_name(F.col("row_num"), depth), F.lit(".jpg")).alias("filename"),
-        manifest_folder(F.col("sheet"), base_folder).alias("folder"))
+        manifest_folder(F.concat_ws("/", site_part(F.col("site")), "sheet"), base_folder).alias("folder"))
 
 
 def manifest_count(manifest: DataFrame) -> DataFrame:
-    """Images per depth and, with a null depth, in all."""
-    return manifest.rollup("depth").agg(F.count("*").alias("n_attempted"))
+    """Images per site and depth, per site with a null depth, and in all with both null."""
+    return manifest.rollup("site", "depth").agg(F.count("*").alias("n_attempted"))
 
 
 def download_count(outcomes: DataFrame) -> DataFrame:
-    """Files obtained per depth, from ``fetch_outcome`` rows with a depth."""
-    return outcomes.groupBy("depth").agg(F.count_if(F.col("outcome") == "saved").alias("n_saved"))
+    """Files obtained per site and depth, from ``fetch_outcome`` rows with both."""
+    return outcomes.groupBy("site", "depth").agg(F.count_if(F.col("outcome") == "saved").alias("n_saved"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -298,12 +299,13 @@ def _(spark, sf):
     return sc.sections_sorted(sc.fold_singleton_sections(_sectioned(spark, sf)))
 
 
-@query("manifest_count", "SELECT depth, count(*) AS n_attempted FROM manifest GROUP BY ROLLUP (depth)")
+@query("manifest_count", "SELECT site, depth, count(*) AS n_attempted FROM manifest GROUP BY ROLLUP (site, depth)")
 def _(spark, sf):
     return mf.manifest_count(mf.download_manifest(rp.join_pages_images(v.walked(spark, sf), v.walked_images(spark, sf))))
 
 
-@query("download_count", "SELECT CAST(string_split(req_id, '-')[1]::BIGINT % 5 AS INT) AS depth, count(*) FILTER (WHERE outcome = 'saved') AS n_saved FROM outcomes GROUP BY 1")
+@query("download_count", """SELECT regexp_extract(url, '^[a-z]+://[^/]+') AS site, CAST(string_split(req_id, '-')[1]::BIGINT % 5 AS INT) AS depth,
+      count(*) FILTER (WHERE outcome = 'saved') AS n_saved FROM outcomes GROUP BY 1, 2""")
 def _(spark, sf):
     return mf.download_count(cp.attempts_by_depth(spark, sf))
 
@@ -383,10 +385,11 @@ def _(spark, sf):
     return rp.urls_per_depth(v.walked(spark, sf)).orderBy("depth", "site")
 
 
-@query("limit_per_depth", "SELECT site, depth, url, trail[1] AS k FROM walked WHERE depth = 1 QUALIFY row_number() OVER (PARTITION BY site ORDER BY trail) <= 5")
+@query("limit_per_depth", "SELECT site, depth, url, trail[1] AS k FROM walked QUALIFY row_number() OVER (PARTITION BY site, depth ORDER BY trail) <= 5")
 def _(spark, sf):
-    level = v.walked(spark, sf).filter("depth = 1")
-    return fr.limit_per_depth(level, 5).select("site", "depth", "url", F.col("trail")[0].alias("k"))
+    walked = v.walked(spark, sf)
+    levels = [fr.limit_per_depth(walked.filter(F.col("depth") == d), 5) for d in range(v.WALK_DEPTH + 1)]
+    return reduce(DataFrame.unionAll, levels).select("site", "depth", "url", F.get("trail", F.lit(0)).alias("k"))
 
 
 @query("monitor_topn", """SELECT task_id, status, end_time FROM task_log

@@ -43,8 +43,8 @@ def halves(batch: list) -> list:
 
 
 def attempts_by_depth(spark: SparkSession, sf: str) -> DataFrame:
-    """Outcomes of the attempt log with the depth their request came from."""
-    outcomes = fetch_outcome(v.attempt_log(spark, sf))
+    """Outcomes of the attempt log with the site and depth their request came from."""
+    outcomes = fetch_outcome(v.attempt_log(spark, sf)).withColumn("site", F.regexp_extract("url", "^[a-z]+://[^/]+", 0))
     return outcomes.withColumn("depth", (F.substring_index("req_id", "-", 1).cast("long") % 5).cast("int"))
 
 

@@ -246,7 +246,7 @@ VIEWS["report"] = report_view("walked", "walked_images")
 def manifest_view(report: str) -> str:
     return f"""
     SELECT site, depth, row_num, image_url AS url, concat(row_num, '_d', depth, '.jpg') AS filename,
-      concat('{fixed.BASE_FOLDER}/Depth Level ', depth) AS folder
+      concat('{fixed.BASE_FOLDER}/', replace(replace(replace(site, '%', '%25'), '/', '%2F'), ':', '%3A'), '/Depth Level ', depth) AS folder
     FROM (SELECT *, 1 + row_number() OVER (PARTITION BY site, depth ORDER BY trail, image_depth NULLS FIRST, image_trail NULLS FIRST, pos NULLS FIRST) AS row_num FROM {report})
     WHERE image_url IS NOT NULL AND image_url <> ''"""
 

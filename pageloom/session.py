@@ -6,8 +6,6 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-_LOCAL_ROOTS: dict[str, str] = {}
-
 
 def local_session(cores: str = "*", name: str = "pageloom") -> SparkSession:
     """A session for tests and the benchmark; clusters bring their own."""
@@ -17,6 +15,7 @@ def local_session(cores: str = "*", name: str = "pageloom") -> SparkSession:
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", f"{tempfile.gettempdir()}/pageloom-scratch")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
@@ -29,13 +28,8 @@ def local_session(cores: str = "*", name: str = "pageloom") -> SparkSession:
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables.
 
-    The cluster names it in ``spark.checkpoint.dir``.  Only a local session
-    without that setting gets a temporary folder of its own.
+    The cluster names it in ``spark.checkpoint.dir``; without that setting the
+    warehouse, which executors share as well, holds it.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        app = spark.sparkContext.applicationId
-        root = _LOCAL_ROOTS.get(app) or _LOCAL_ROOTS.setdefault(app, tempfile.mkdtemp(prefix="pageloom-"))
+    root = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     return root.rstrip("/")

@@ -8,12 +8,13 @@ import pytest
 
 import __spark_entry__ as entry_module
 from pageloom.operators import report as rp
+from pageloom.plans import catalog
 from pageloom.plans import composites as cp
 from pageloom.plans import views as v
 from pageloom.sources import sinks
 from pageloom.sources import tables as tb
 
-QUERIES, SQL = entry_module.queries(), entry_module.oracle_sql()
+QUERIES, SQL = catalog.QUERIES, catalog.ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -65,6 +66,7 @@ def test_entry(spark):
 
 def test_names_agree():
     assert set(SQL) == set(QUERIES)
+    assert set(entry_module.queries()) >= set(QUERIES) and set(entry_module.oracle_sql()) >= set(SQL)
 
 
 @pytest.mark.parametrize("fmt", ["parquet", "csv", "json", "orc"])

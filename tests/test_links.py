@@ -50,4 +50,5 @@ def test_labels(spark):
     assert [v(lb.extension(F.lit(s))) for s in ("a/.jpg", "b.tar.JPG", "c", "d.e/f")] == ["", ".jpg", "", ""]
     assert v(lb.manifest_name(F.lit(7), F.lit(2))) == "7_d2"
     assert v(lb.unescape_entities(F.lit("&#233;&lt;&#0;&amp;lt;&#x1F600;&nope;"))) == "é<�&lt;😀&nope;"
+    assert v(lb.unescape_entities(F.lit("&#38;lt; &#38;#x41; &#X41;"))) == "&lt; &#x41; A"
     assert v(lb.format_ts(F.expr("timestamp'2024-05-06 07:08:09.9'"))) == "2024-05-06 07:08:09"

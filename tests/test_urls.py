@@ -95,7 +95,7 @@ def test_image_addresses(spark):
     assert {r.src: r.i for r in df.select("src", u.resolve_image(F.col("src"), F.col("page_url")).alias("i")).collect()} == want
 
 
-def test_main_domains(spark, monkeypatch):
+def test_main_domains(spark):
     want = {
         "https://mail.google.com/mail/u/0/": "google.com", "https://www.speedtest.net/apps/windows": "speedtest.net",
         "http://forums.bbc.co.uk/": "bbc.co.uk", "ftp://ftp.debian.org/debian/": "debian.org",
@@ -104,14 +104,13 @@ def test_main_domains(spark, monkeypatch):
     }
     df = spark.createDataFrame([(x,) for x in want], "url string")
     suffixes = spark.createDataFrame([(s,) for s in ["com", "net", "org", "uk", "co.uk"]], "suffix string")
-    inline = dm.with_main_domain(df, "url", suffixes)
-    assert {r.url: r.main_domain for r in inline.collect()} == want
-    monkeypatch.setattr(dm, "MAX_INLINE_SUFFIXES", 2)
-    joined = dm.with_main_domain(df, "url", suffixes)
-    assert {r.url: r.main_domain for r in joined.collect()} == want
+    for listed in (suffixes, [r.suffix for r in suffixes.collect()]):
+        assert {r.url: r.main_domain for r in dm.with_main_domain(df, "url", listed).collect()} == want
     rules = ["ck", "*.ck", "!www.ck"]
-    wild = dm.with_main_domain(spark.createDataFrame([("http://a.b.c.ck/",), ("http://x.www.ck/",)], "url string"), "url", rules)
-    assert rows(wild.select("main_domain")) == [("b.c.ck",), ("www.ck",)]
+    hosts = spark.createDataFrame([("http://a.b.c.ck/",), ("http://x.www.ck/",)], "url string")
+    many = spark.createDataFrame([(s,) for s in rules], "suffix string").unionAll(spark.range(25_000).selectExpr("concat('x', id, '.zz') AS suffix"))
+    for listed in (rules, many):
+        assert rows(dm.with_main_domain(hosts, "url", listed).select("main_domain")) == [("b.c.ck",), ("www.ck",)]
 
 
 def test_internal_and_external_links(spark):
@@ -124,12 +123,11 @@ def test_internal_and_external_links(spark):
         ("/c",), ("https://notx.com/b",), ("https://x.com/a",)]
 
 
-def test_same_domain_agrees_with_comparing_every_domain(spark, monkeypatch):
+def test_same_domain_agrees_with_comparing_every_domain(spark):
     pages = ["https://a.x.com/p", "https://y.co.uk", "http://lone/"]
     urls = ["https://x.com/1", "https://A.x.com/2", "https://b.x.com:8/3", "https://x.org/4", "http://www.y.co.uk/5", "http://lone/6", "/7"]
     df = spark.createDataFrame([(u_, p) for u_ in urls for p in pages], "url string, page_url string")
     rules = spark.createDataFrame([(s,) for s in ["com", "org", "uk", "co.uk"]], "suffix string")
     want = [(u_, p) for u_, p in [(urls[0], pages[0]), (urls[1], pages[0]), (urls[2], pages[0]), (urls[4], pages[1]), (urls[5], pages[2])]]
-    assert rows(dm.keep_same_domain(df, "url", "page_url", rules)) == sorted(want, key=repr)
-    monkeypatch.setattr(dm, "MAX_INLINE_SUFFIXES", 1)
     assert rows(dm.keep_same_domain(df, "url", "page_url", rules).select("url", "page_url")) == sorted(want, key=repr)
+    assert rows(dm.keep_same_domain(df, "url", "page_url", ["com", "org", "uk", "co.uk"]).select("url", "page_url")) == sorted(want, key=repr)

@@ -74,16 +74,27 @@ def test_level_limits_are_checked(spark):
         fr.batch_number(spark.range(1), 0)
 
 
-def test_large_limit_takes_the_ranked_way(spark, monkeypatch):
-    level = spark.createDataFrame([("s", f"u{i}", [i]) for i in range(50)], "site string, url string, trail array<int>")
-    small = rows(fr.limit_per_depth(level, 7))
-    monkeypatch.setattr(fr, "WINDOW_LIMIT", 1)
-    assert rows(fr.limit_per_depth(level, 7)) == small
+def test_limit_keeps_the_first_of_each_site(spark):
+    level = spark.createDataFrame([(f"s{i % 2}", f"u{i}", [i]) for i in range(50)], "site string, url string, trail array<int>")
+    assert rows(fr.limit_per_depth(level, 7).select("url")) == sorted((f"u{i}",) for i in range(14))
 
 
-def test_limit_uses_a_group_limit(spark):
-    level = spark.createDataFrame([("s", "u", [1])], "site string, url string, trail array<int>")
-    assert "WindowGroupLimit" in fr.limit_per_depth(level, 7)._jdf.queryExecution().executedPlan().toString()
+def test_conflicting_limits_are_an_error(spark):
+    table = spark.createDataFrame([(1, 2), (1, 2), (2, 3)], "depth int, max_urls int")
+    assert fr.level_limits(table, 2) == [None, 2, 3]
+    with pytest.raises(ValueError):
+        fr.level_limits(table.unionAll(spark.createDataFrame([(1, 5)], "depth int, max_urls int")), 2)
+
+
+def test_walk_stays_on_its_site_by_default(spark):
+    pages = spark.createDataFrame([
+        (1, "https://s.test", '<a href="https://other.org/x">o</a><a href="/a">a</a><a href="https://www.social.org/me">s</a>'),
+        (2, "https://other.org/x", ""), (3, "https://s.test/a", ""), (4, "https://www.social.org/me", "")], "page_id long, url string, html string")
+    seeds = spark.createDataFrame([(1, "https://s.test")], "ord long, domain string")
+    walked = lambda **o: {r.page_id for r in fr.crawl_frontier(seeds, pages, max_depth=1, **o).crawled.collect()}
+    assert walked() == {1, 3}
+    assert walked(same_site=False) == {1, 2, 3, 4}
+    assert walked(same_site=False, social=["social.org"]) == {1, 2, 3}
 
 
 def test_later_levels_read_buckets_without_exchange(spark):
@@ -127,16 +138,16 @@ def test_report_counts_and_manifest(spark):
         ("Depth 0", 1, 2), ("Depth 1", 3, 5), ("Total", 4, 7)]
     manifest = mf.download_manifest(report)
     assert [tuple(r) for r in manifest.orderBy("depth", "row_num").select("filename", "folder").collect()][2:] == [
-        (f"{n}_d1.jpg", "Downloaded_Images/Depth Level 1") for n in (2, 3, 4, 5, 6)]
+        (f"{n}_d1.jpg", "Downloaded_Images/s/Depth Level 1") for n in (2, 3, 4, 5, 6)]
 
 
 def test_manifest_numbers_skip_empty_rows(spark):
     data = [("Depth Level 10", i, a) for i, a in enumerate(["u", None, "v", "", "w"])] + [("depth level x", 0, "y"), ("Summary", 0, "z")]
     sheets = spark.createDataFrame([("s", *d) for d in data], "site string, sheet string, ord int, image_url string")
     got = mf.download_manifest(sheets, "D", ["ord"]).select("filename", "url", "folder")
-    assert rows(got) == [("2_d0.jpg", "y", "D/depth level x"), ("2_d10.jpg", "u", "D/Depth Level 10"),
-                         ("4_d10.jpg", "v", "D/Depth Level 10"), ("6_d10.jpg", "w", "D/Depth Level 10")]
-    assert rows(mf.manifest_count(mf.download_manifest(sheets, "D", ["ord"]))) == [(0, 1), (10, 3), (None, 4)]
+    assert rows(got) == [("2_d0.jpg", "y", "D/s/depth level x"), ("2_d10.jpg", "u", "D/s/Depth Level 10"),
+                         ("4_d10.jpg", "v", "D/s/Depth Level 10"), ("6_d10.jpg", "w", "D/s/Depth Level 10")]
+    assert rows(mf.manifest_count(mf.download_manifest(sheets, "D", ["ord"]))) == [("s", 0, 1), ("s", 10, 3), ("s", None, 4), (None, None, 4)]
 
 
 def test_sections(spark):
