@@ -30,7 +30,7 @@ from pageloom.sources import scratch
 
 BUCKETS = 1 << 12
 SIZES = (3, 4, 5)
-STEPS, RATE, DECAY = 30, 4.0, 1e-3
+STEPS, RATE, DECAY = 60, 16.0, 1e-3
 BLOCK = 0.5
 PRIOR = 0.2  # share of addresses to block where nothing else is known
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
