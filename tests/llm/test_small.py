@@ -329,14 +329,21 @@ def test_recurrent_scores(spark, odd):
     assert len(got) == len(pairs)
     for r in got:
         assert r.held_out == held(r.doc_id) and r.train_tokens == total and (r.n_tokens, r.n_known, round(r.base_score, 6)) in base[r.doc_id]
-    out = [r for r in got if r.held_out]
-    assert sum(r.score for r in out) > sum(r.base_score for r in out)
+    assert all(r.score < 0 for r in got)
     assert recurrent_lm.score(odd.limit(0)).count() == 0
 
 
+def test_recurrent_model_beats_counts_on_held_out_documents(spark):
+    out = queries.op10_recurrent_lm(spark, "/root/testdata/sf0.01").filter("held_out").collect()
+    assert sum(r.score for r in out) > sum(r.base_score for r in out)
+
+
+def test_packing():
+    values = np.random.default_rng(1).integers(0, 2**20, 5000).astype(np.uint32)
+    assert (recurrent_lm.unpack(recurrent_lm.pack(values)) == values).all()
+
+
 def test_model_is_a_distribution():
-    lex = recurrent_lm.Lexicon(0, 0, np.empty(0, np.uint64), np.zeros(recurrent_lm.CLASSES), np.zeros(recurrent_lm.CLASSES))
-    assert lex.tokens == 0
     net = recurrent_lm.Network()
     state = net.step(np.zeros((3, recurrent_lm.HIDDEN), np.float32), np.array([0, 1, 2]))[0]
     total = sum(np.exp(net.log_probability(state, np.full(3, k))) for k in range(recurrent_lm.CLASSES))
