@@ -23,8 +23,8 @@ documents side by side, longest first.
 
 **Data flow.**  One pass turns blocks of documents into compact rows: lengths, the
 place of each token in the block's own vocabulary, and that vocabulary as 64-bit
-hashes with shapes and counts.  Texts are not read again.  Counts are joined to
-each block's vocabulary, far smaller than its tokens, and meet the block by id.
+hashes with shapes and counts.  Texts are not read again.  Vocabularies, far
+smaller than the tokens, go by word to be counted and come back by block.
 
 A null or empty text is its end alone.  Null ids are not held out.  Repeated rows
 are rows like others.
@@ -38,7 +38,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pageloom.llm import words as W
@@ -48,7 +48,7 @@ HEAD, HIDDEN, WINDOW = 63, 16, 16
 FREQUENCIES, SHAPES = 4, 16
 CLASSES = HEAD + FREQUENCIES * SHAPES
 SHARE, ROUNDS, RATE, CLIP, STREAMS = 0.05, 2, 0.01, 1.0, 32
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 16 << 20
 FAN = 32
 SEED = 10
 
@@ -56,7 +56,7 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 END = np.uint64(0xE0D0_E0D0_E0D0_E0D1)
 PARTS = ["doc_id", "no_id", "held_out", "length", "local", "vocabulary", "shape", "train_count"]
-BLOCKS = "block string, tokens long, " + ", ".join(f"{p} binary" for p in PARTS)
+BLOCKS = "block long, tokens long, " + ", ".join(f"{p} binary" for p in PARTS)
 
 
 def _shapes(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -83,7 +83,7 @@ class _Block:
         self.parts.append((part.column("doc_id"), part.column("held_out"), words.counts, local, vocabulary, shape))
         self.bytes += len(raw)
 
-    def row(self, name: str) -> dict:
+    def row(self, name: int) -> dict:
         vocabulary, index = np.unique(np.concatenate([p[4] for p in self.parts] + [np.array([END])]), return_index=True)
         shape = np.concatenate([p[5] for p in self.parts] + [np.array([0])])[index].astype(np.uint8)
         end = int(np.searchsorted(vocabulary, END))
@@ -101,14 +101,30 @@ class _Block:
             ids.append(doc_id.fill_null(0).to_numpy(zero_copy_only=False))
             none.append(doc_id.is_null().to_numpy(zero_copy_only=False))
         local, length, held_out = np.concatenate(locals_), np.concatenate(lengths).astype(np.int64), np.concatenate(held)
-        train = np.bincount(local[np.repeat(~held_out, length)], minlength=len(vocabulary)).astype(np.int64)
+        # Frequent words get small places, which pack well.
+        order = np.argsort(-np.bincount(local, minlength=len(vocabulary)), kind="stable")
+        rank = np.empty(len(order), np.uint32)
+        rank[order] = np.arange(len(order), dtype=np.uint32)
+        local, vocabulary, shape = rank[local], vocabulary[order], shape[order]
+        train = np.bincount(local[np.repeat(~held_out, length)], minlength=len(vocabulary)).astype(np.uint32)
         values = [np.concatenate(ids).astype(np.int64), np.concatenate(none), held_out, length, local, vocabulary, shape, train]
-        return {"block": name, "tokens": len(local)} | {p: v.tobytes() for p, v in zip(PARTS, values, strict=True)}
+        return {"block": name, "tokens": len(local)} | {p: pack(v) if p == "local" else v.tobytes() for p, v in zip(PARTS, values, strict=True)}
+
+
+def pack(values: np.ndarray) -> bytes:
+    """32-bit numbers by planes of bytes, compressed."""
+    return len(values).to_bytes(8, "little") + pa.compress(np.ascontiguousarray(values.view(np.uint8).reshape(-1, 4).T).tobytes(), "zstd", asbytes=True)
+
+
+def unpack(data: bytes) -> np.ndarray:
+    n = int.from_bytes(data[:8], "little")
+    planes = np.frombuffer(pa.decompress(data[8:], 4 * n, "zstd", asbytes=True), np.uint8).reshape(4, n)
+    return np.ascontiguousarray(planes.T).view(np.uint32).ravel()
 
 
 def _part(row, name: str) -> np.ndarray:
-    kinds = {"doc_id": np.int64, "no_id": bool, "held_out": bool, "length": np.int64, "local": np.uint32, "vocabulary": np.uint64, "shape": np.uint8, "train_count": np.int64}
-    return np.frombuffer(row[name], kinds[name])
+    kinds = {"doc_id": np.int64, "no_id": bool, "held_out": bool, "length": np.int64, "local": np.uint32, "vocabulary": np.uint64, "shape": np.uint8, "train_count": np.uint32}
+    return unpack(row[name]) if name == "local" else np.frombuffer(row[name], kinds[name])
 
 
 def blocks(docs: DataFrame) -> DataFrame:
@@ -118,15 +134,15 @@ def blocks(docs: DataFrame) -> DataFrame:
         from pyspark import TaskContext
 
         task, number, block = TaskContext.get().partitionId(), 0, _Block()
-        schema = pa.schema([("block", pa.string()), ("tokens", pa.int64()), *[(p, pa.binary()) for p in PARTS]])
+        schema = pa.schema([("block", pa.int64()), ("tokens", pa.int64()), *[(p, pa.binary()) for p in PARTS]])
         for batch in batches:
             for part in W.chunks(batch):
                 block.add(part)
                 if block.bytes >= BLOCK_BYTES:
-                    yield pa.RecordBatch.from_pylist([block.row(f"{task}-{number}")], schema)
+                    yield pa.RecordBatch.from_pylist([block.row((task << 24) + number)], schema)
                     number, block = number + 1, _Block()
         if block.parts:
-            yield pa.RecordBatch.from_pylist([block.row(f"{task}-{number}")], schema)
+            yield pa.RecordBatch.from_pylist([block.row((task << 24) + number)], schema)
 
     doc_id = F.col("doc_id").cast("long")
     held = F.coalesce(F.pmod(F.crc32(doc_id.cast("string")), F.lit(5)) == 1, F.lit(False))
@@ -141,11 +157,11 @@ def _vocabularies(packed: DataFrame) -> DataFrame:
             for row in batch.to_pylist():
                 word = _part(row, "vocabulary")
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([row["block"]] * len(word)), pa.array(np.arange(len(word), dtype=np.int32)), pa.array(word.view(np.int64)),
-                    pa.array(_part(row, "shape").astype(np.int32)), pa.array(_part(row, "train_count")),
+                    pa.array(np.full(len(word), row["block"], np.int64)), pa.array(np.arange(len(word), dtype=np.int32)), pa.array(word.view(np.int64)),
+                    pa.array(_part(row, "shape").astype(np.int32)), pa.array(_part(row, "train_count").astype(np.int64)),
                 ], ["block", "place", "word", "shape", "n"])
 
-    return packed.select("block", "vocabulary", "shape", "train_count").mapInArrow(run, "block string, place int, word long, shape int, n long")
+    return packed.select("block", "vocabulary", "shape", "train_count").mapInArrow(run, "block long, place int, word long, shape int, n long")
 
 
 class Network:
@@ -226,20 +242,12 @@ class Network:
 
 
 class Lexicon:
-    """What the counts say: totals, the head words, and sizes of the classes."""
+    """What the counts say: tokens, distinct words, words of the head, and tokens and words of each class."""
 
-    def __init__(self, tokens: int, distinct: int, head: np.ndarray, mass: np.ndarray, members: np.ndarray):
+    def __init__(self, tokens: int, distinct: int, head: int, mass: np.ndarray, members: np.ndarray):
         self.tokens, self.distinct, self.head, self.mass, self.members = tokens, distinct, head, mass, members
 
 
-def class_of(word: np.ndarray, shape: np.ndarray, count: np.ndarray, head: np.ndarray) -> np.ndarray:
-    """Class of each word: its place in the head, or its frequency and shape."""
-    frequency = np.minimum(np.log2(np.maximum(count, 1)) // 3, FREQUENCIES - 1).astype(np.int64)
-    out = HEAD + frequency * SHAPES + shape
-    at = np.minimum(np.searchsorted(head, word), max(len(head) - 1, 0))
-    return np.where(head[at] == word, at, out) if len(head) else out
-
-
 def base_log10(count: np.ndarray, tokens: int, distinct: int) -> np.ndarray:
     return np.log10(count + 0.5) - math.log10(tokens + 0.5 * (distinct + 1))
 
@@ -254,74 +262,66 @@ def _average(models: DataFrame) -> DataFrame:
     return models.groupBy("part").applyInPandas(mean, "part long, tokens long, params binary")
 
 
-def _read_lexicon(counts: DataFrame) -> Lexicon:
-    tokens, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    top = counts.orderBy(F.desc("n"), "word").limit(HEAD).select("word").collect()
-    return Lexicon(tokens, distinct, np.sort(np.array([r.word for r in top], np.int64).view(np.uint64)), np.zeros(CLASSES), np.zeros(CLASSES))
-
-
-def _class_sizes(counts: DataFrame, head: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Tokens and words per class."""
+def _class(head: list[int]) -> Column:
+    """Class of a word: its place among the most frequent ones, or its frequency and shape."""
     frequency = F.least(F.lit(FREQUENCIES - 1), F.floor(F.log2(F.greatest("n", F.lit(1))) / 3)).cast("int")
-    kind = F.lit(HEAD) + frequency * SHAPES + F.col("shape")
-    for i, word in enumerate(head.view(np.int64).tolist()):
-        kind = F.when(F.col("word") == word, i).otherwise(kind)
-    mass, members = np.zeros(CLASSES), np.zeros(CLASSES)
-    for r in counts.groupBy(kind.alias("kind")).agg(F.sum("n").alias("n"), F.count("*").alias("words")).collect():  # a row per class
-        mass[r.kind], members[r.kind] = r.n, r.words
-    return mass, members
+    other = F.lit(HEAD) + frequency * SHAPES + F.col("shape")
+    if not head:
+        return other
+    at = F.element_at(F.create_map(*[F.lit(x) for i, word in enumerate(head) for x in (word, i)]), F.col("word"))
+    return F.when(F.col("word").isin(head), at).otherwise(other)
 
 
 def score(docs: DataFrame) -> DataFrame:
     """``(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)`` of every row."""
     spark = docs.sparkSession
     packed = scratch.materialise(blocks(docs), "blocks")
-    vocabulary = scratch.materialise(_vocabularies(packed), "vocabulary")
-    counts = vocabulary.filter("n > 0").groupBy("word").agg(F.sum("n").alias("n"), F.min("shape").alias("shape"))
-    counts = scratch.materialise(counts, "counts")
-    lexicon = _read_lexicon(counts)
-    lexicon.mass, lexicon.members = _class_sizes(counts, lexicon.head)
-    known = vocabulary.select("block", "place", "word").join(counts.select("word", "n", "shape"), "word")
-    # Shapes of known words are those of the counts, so every block sees one class for a word.
-    known = known.groupBy("block").agg(F.collect_list(F.struct("place", "n", "shape")).alias("known"))
-    joined = packed.join(known, "block", "left")
-    shared = spark.sparkContext.broadcast(lexicon)
-
-    def classed(row: dict, lex: Lexicon) -> tuple[np.ndarray, np.ndarray]:
-        """Count and class of each word of a block's vocabulary."""
-        word, shape = _part(row, "vocabulary"), _part(row, "shape").astype(np.int64)
-        count = np.zeros(len(word), np.int64)
-        if row["known"]["place"] is not None and len(row["known"]["place"]):
-            at = row["known"]["place"]
-            count[at], shape[at] = row["known"]["n"], row["known"]["shape"]
-        return count, class_of(word, shape, count, lex.head)
+    # A block has a word once, so a word has as many rows as there are blocks with it;
+    # one exchange by word gives every row the word's count, and one row of each stands for it.
+    same = Window.partitionBy("word")
+    words = _vocabularies(packed).select(
+        "block", "place", "word", F.sum("n").over(same).alias("n"), F.min("shape").over(same).alias("shape"), (F.row_number().over(same.orderBy("block")) == 1).alias("stands"))
+    words = scratch.materialise(words, "words")
+    counts = words.filter("stands and n > 0")
+    tokens, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    head = [r.word for r in counts.orderBy(F.desc("n"), "word").limit(HEAD).select("word").collect()]
+    kind = _class(head)
+    mass, members = np.zeros(CLASSES), np.zeros(CLASSES)
+    for r in counts.groupBy(kind.alias("kind")).agg(F.sum("n").alias("n"), F.count("*").alias("words")).collect():  # a row per class
+        mass[r.kind], members[r.kind] = r.n, r.words
+    lexicon = Lexicon(tokens, distinct, len(head), mass, members)
+    end = int(END.astype(np.int64))
+    end_class = head.index(end) if end in head else CLASSES - 1
+    known = words.groupBy("block").agg(F.collect_list(F.struct("place", "n", kind.cast("short").alias("kind"))).alias("known"))
+    joined = packed.select("block", "tokens", "doc_id", "no_id", "held_out", "length", "local").join(known, "block")
 
     def rows(batch: pa.RecordBatch) -> Iterator[dict]:
         for i in range(batch.num_rows):
             one = batch.slice(i, 1)
-            known = one.column("known")
-            flat = known.flatten() if known.null_count == 0 else None
-            part = {f: flat.field(f).to_numpy(zero_copy_only=False) if flat is not None else None for f in ("place", "n", "shape")}
+            flat = one.column("known").flatten()
+            part = {f: flat.field(f).to_numpy(zero_copy_only=False) for f in ("place", "n", "kind")}
             yield {c: one.column(c)[0].as_py() for c in one.schema.names if c != "known"} | {"known": part}
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in rows(batch):
-                count, kind = classed(row, shared.value)
+                place = row["known"]["place"]
+                count, kind = np.zeros(len(place), np.int64), np.zeros(len(place), np.uint8)
+                count[place], kind[place] = row["known"]["n"], row["known"]["kind"]
                 local, length, held_out = _part(row, "local"), _part(row, "length"), _part(row, "held_out")
                 pick = ~held_out & (W.mix(_part(row, "doc_id").view(np.uint64) ^ np.uint64(SEED)) < np.uint64(int(SHARE * 2**64)))
-                sample = kind.astype(np.uint8)[local[np.repeat(pick, length)]]
+                sample = kind[local[np.repeat(pick, length)]]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([row[c]]) for c in ("block", "tokens")] + [pa.array([row[p]], pa.binary()) for p in ("doc_id", "no_id", "held_out", "length", "local")]
-                    + [pa.array([count.tobytes()], pa.binary()), pa.array([kind.astype(np.uint8).tobytes()], pa.binary()), pa.array([sample.tobytes()], pa.binary())],
+                    + [pa.array([count.tobytes()], pa.binary()), pa.array([kind.tobytes()], pa.binary()), pa.array([sample.tobytes()], pa.binary())],
                     ["block", "tokens", "doc_id", "no_id", "held_out", "length", "local", "count", "kind", "sample"],
                 )
 
-    ready = "block string, tokens long, doc_id binary, no_id binary, held_out binary, length binary, local binary, count binary, kind binary, sample binary"
+    ready = "block long, tokens long, doc_id binary, no_id binary, held_out binary, length binary, local binary, count binary, kind binary, sample binary"
     ready = scratch.materialise(joined.mapInArrow(encode, ready), "classed")
     samples = ready.select("block", "sample").filter(F.octet_length("sample") > 0)
-    end_class = int(class_of(np.array([END]), np.array([0]), np.array([1 << 40]), lexicon.head)[0])
 
+    shared = spark.sparkContext.broadcast(lexicon)
     net = Network()
     # The softmax starts from the classes' own frequencies.
     net.out_bias[:] = np.log((lexicon.mass + 0.5) / (lexicon.mass.sum() + 0.5 * CLASSES))
@@ -379,7 +379,7 @@ def _score_block(row: dict, net: Network, lex: Lexicon, end_class: int) -> pa.Re
     n_known = W.per_text(np.add, (count > 0).astype(np.int64)[local], first, 0)
     # One unseen word stands in each class beside the seen ones; head classes hold their word alone.
     spread = lex.mass[kind] + 0.5 * (lex.members[kind] + 1)
-    word_part = np.where(kind < len(lex.head), 0.0, np.log10(count + 0.5) - np.log10(np.maximum(spread, 1)))
+    word_part = np.where(kind < lex.head, 0.0, np.log10(count + 0.5) - np.log10(np.maximum(spread, 1)))
     total = W.per_text(np.add, word_part[local], first, 0)
 
     order = np.argsort(-length, kind="stable")
