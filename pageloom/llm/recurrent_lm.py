@@ -12,11 +12,10 @@ recurrent network in numpy predicts the class; p(w | class) comes from the count
 with half a count added per word and for one unseen word, so it covers every text.
 
 **Training.**  Truncated backpropagation through time over windows of ``WINDOW``
-tokens, the state carried from window to window.  Each block of documents
-contributes the training documents that a hash draws with chance ``SHARE``; its
-task runs one pass of stochastic descent from the shared parameters and the
-results are averaged by number of tokens, ``ROUNDS`` times.  So what training
-sees grows with the corpus.
+tokens, the state carried from window to window.  It learns from every training
+document: each task runs one pass of stochastic descent over all of its blocks
+from the shared parameters and the results are averaged by number of tokens,
+``ROUNDS`` times.
 
 **Scoring.**  Every document is run whole, its state carried across windows, many
 documents side by side, longest first.
@@ -47,7 +46,7 @@ from pageloom.sources import scratch
 HEAD, HIDDEN, WINDOW = 63, 16, 16
 FREQUENCIES, SHAPES = 4, 16
 CLASSES = HEAD + FREQUENCIES * SHAPES
-SHARE, ROUNDS, RATE, CLIP, STREAMS = 0.05, 2, 0.01, 1.0, 32
+ROUNDS, RATE, CLIP, STREAMS = 2, 0.01, 1.0, 32
 BLOCK_BYTES = 16 << 20
 FAN = 32
 SEED = 10
@@ -196,41 +195,62 @@ class Network:
 
     def learn(self, classes: np.ndarray, first: int) -> None:
         """One pass of truncated backpropagation over parallel streams ``(time, stream)``."""
-        h = HIDDEN
-        state = np.zeros((classes.shape[1], h), np.float32)
-        previous = np.full(classes.shape[1], first)
+        h, streams = HIDDEN, classes.shape[1]
+        state = np.zeros((streams, h), np.float32)
+        previous = np.full(streams, first)
         mean, square, steps = np.zeros_like(self.values), np.zeros_like(self.values), 0
+        one = np.float32(1)
         for at in range(0, len(classes), WINDOW):
             window = classes[at : at + WINDOW]
             inputs = np.vstack([previous[None], window[:-1]])
-            states, kept = [state], []
-            for before in inputs:
-                state, *rest = self.step(state, before)
-                states.append(state)
-                kept.append(rest)
-            grad = Network(np.zeros_like(self.values))
-            back = np.zeros_like(state)
             n = window.size
+            # What does not depend on the state is taken for the whole window at once.
+            read = (self.embed[inputs.ravel()] + self.bias).reshape(len(window), streams, 3 * h)
+            states = np.empty((len(window) + 1, streams, h), np.float32)
+            states[0] = state
+            gates, inner, fresh = np.empty((len(window), streams, 2 * h), np.float32), np.empty_like(states[1:]), np.empty_like(states[1:])
+            for t, x in enumerate(read):
+                from_state = states[t] @ self.hidden
+                g, f = gates[t], fresh[t]
+                np.add(x[:, : 2 * h], from_state[:, : 2 * h], out=g)
+                np.exp(np.negative(g, out=g), out=g)
+                g += one
+                np.reciprocal(g, out=g)
+                inner[t] = from_state[:, 2 * h :]
+                np.tanh(x[:, 2 * h :] + g[:, h:] * inner[t], out=f)
+                np.add(f, g[:, :h] * (states[t] - f), out=states[t + 1])
+            state = states[-1]
+            seen = states[1:].reshape(n, h)
+            p = seen @ self.out + self.out_bias
+            p -= p.max(1, keepdims=True)
+            np.exp(p, out=p)
+            p /= p.sum(1, keepdims=True)
+            p[np.arange(n), window.ravel()] -= 1
+            p /= n
+            grad = Network(np.zeros_like(self.values))
+            grad.out[:] = seen.T @ p
+            grad.out_bias[:] = p.sum(0)
+            errors = (p @ self.out.T).reshape(len(window), streams, h)
+            # d_x: by what the gates and the fresh state get; d_h: by what the old state gives them.
+            d_x, d_h = np.empty((2, len(window), streams, 3 * h), np.float32)
+            back, weights = np.zeros((streams, h), np.float32), np.ascontiguousarray(self.hidden.T)
+            update, reset, slope = gates[:, :, :h], gates[:, :, h:], gates * (one - gates)
+            to_fresh = (one - update) * (one - fresh * fresh)
+            to_update, to_reset = (states[:-1] - fresh) * slope[:, :, :h], inner * slope[:, :, h:]
             for t in range(len(window) - 1, -1, -1):
-                scores = states[t + 1] @ self.out + self.out_bias
-                p = np.exp(scores - scores.max(1, keepdims=True))
-                p /= p.sum(1, keepdims=True)
-                p[np.arange(len(p)), window[t]] -= 1
-                p /= n
-                grad.out += states[t + 1].T @ p
-                grad.out_bias += p.sum(0)
-                back = back + p @ self.out.T
-                update, reset, inner, fresh = kept[t]
-                d_fresh = back * (1 - update) * (1 - fresh**2)
-                d_update = back * (states[t] - fresh) * update * (1 - update)
-                d_reset = d_fresh * inner * reset * (1 - reset)
-                d_gates = np.hstack([d_update, d_reset])
-                d_x = np.hstack([d_gates, d_fresh])
-                np.add.at(grad.embed, inputs[t], d_x)
-                grad.bias += d_x.sum(0)
-                grad.hidden[:, : 2 * h] += states[t].T @ d_gates
-                grad.hidden[:, 2 * h :] += states[t].T @ (d_fresh * reset)
-                back = back * update + d_gates @ self.hidden[:, : 2 * h].T + (d_fresh * reset) @ self.hidden[:, 2 * h :].T
+                back = back + errors[t]
+                d_fresh = np.multiply(back, to_fresh[t], out=d_x[t, :, 2 * h :])
+                np.multiply(back, to_update[t], out=d_x[t, :, :h])
+                np.multiply(d_fresh, to_reset[t], out=d_x[t, :, h : 2 * h])
+                d_h[t, :, : 2 * h] = d_x[t, :, : 2 * h]
+                np.multiply(d_fresh, reset[t], out=d_h[t, :, 2 * h :])
+                back = back * update[t] + d_h[t] @ weights
+            d_x = d_x.reshape(n, 3 * h)
+            chosen = np.zeros((n, CLASSES), np.float32)
+            chosen[np.arange(n), inputs.ravel()] = 1
+            grad.embed[:] = chosen.T @ d_x
+            grad.bias[:] = d_x.sum(0)
+            grad.hidden[:] = states[:-1].reshape(n, h).T @ d_h.reshape(n, 3 * h)
             # Adam; the windows of a narrow rest weigh as their share of a full one.
             steps += 1
             g = grad.values * min(1.0, CLIP / max(float(np.sqrt((grad.values**2).sum())), 1e-9))
@@ -308,18 +328,14 @@ def score(docs: DataFrame) -> DataFrame:
                 place = row["known"]["place"]
                 count, kind = np.zeros(len(place), np.int64), np.zeros(len(place), np.uint8)
                 count[place], kind[place] = row["known"]["n"], row["known"]["kind"]
-                local, length, held_out = _part(row, "local"), _part(row, "length"), _part(row, "held_out")
-                pick = ~held_out & (W.mix(_part(row, "doc_id").view(np.uint64) ^ np.uint64(SEED)) < np.uint64(int(SHARE * 2**64)))
-                sample = kind[local[np.repeat(pick, length)]]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([row[c]]) for c in ("block", "tokens")] + [pa.array([row[p]], pa.binary()) for p in ("doc_id", "no_id", "held_out", "length", "local")]
-                    + [pa.array([count.tobytes()], pa.binary()), pa.array([kind.tobytes()], pa.binary()), pa.array([sample.tobytes()], pa.binary())],
-                    ["block", "tokens", "doc_id", "no_id", "held_out", "length", "local", "count", "kind", "sample"],
+                    + [pa.array([count.tobytes()], pa.binary()), pa.array([kind.tobytes()], pa.binary())],
+                    ["block", "tokens", "doc_id", "no_id", "held_out", "length", "local", "count", "kind"],
                 )
 
-    ready = "block long, tokens long, doc_id binary, no_id binary, held_out binary, length binary, local binary, count binary, kind binary, sample binary"
+    ready = "block long, tokens long, doc_id binary, no_id binary, held_out binary, length binary, local binary, count binary, kind binary"
     ready = scratch.materialise(joined.mapInArrow(encode, ready), "classed")
-    samples = ready.select("block", "sample").filter(F.octet_length("sample") > 0)
 
     shared = spark.sparkContext.broadcast(lexicon)
     net = Network()
@@ -332,8 +348,10 @@ def score(docs: DataFrame) -> DataFrame:
         def learn(batches: Iterator[pa.RecordBatch], start=start) -> Iterator[pa.RecordBatch]:
             net, tokens = Network(start.value.copy()), 0
             for batch in batches:
-                for sample in batch.column("sample").to_pylist():
-                    classes = np.frombuffer(sample, np.uint8).astype(np.int64)
+                for i in range(batch.num_rows):
+                    classes = _train_classes({c: batch.column(c)[i].as_py() for c in batch.schema.names})
+                    if not len(classes):
+                        continue
                     streams = max(1, min(STREAMS, len(classes) // WINDOW))
                     # Equal streams side by side; what is left over is a stream of its own.
                     steps = len(classes) // streams
@@ -344,7 +362,7 @@ def score(docs: DataFrame) -> DataFrame:
             if tokens:
                 yield pa.RecordBatch.from_arrays([pa.array([tokens]), pa.array([net.values.tobytes()], pa.binary())], ["tokens", "params"])
 
-        found = samples.select("sample").mapInArrow(learn, "tokens long, params binary").withColumn("part", F.spark_partition_id().cast("long"))
+        found = ready.select("held_out", "length", "local", "kind").mapInArrow(learn, "tokens long, params binary").withColumn("part", F.spark_partition_id().cast("long"))
         found = scratch.materialise(found, "models")
         n = found.count()
         while n > FAN:
@@ -368,7 +386,13 @@ def score(docs: DataFrame) -> DataFrame:
                 yield _score_block(row, net, lex, end_class)
 
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return ready.drop("sample").mapInArrow(run, schema)
+    return ready.mapInArrow(run, schema)
+
+
+def _train_classes(row: dict) -> np.ndarray:
+    """Classes of all tokens of a block's training documents, in order."""
+    kind = np.frombuffer(row["kind"], np.uint8)
+    return kind[_part(row, "local")[np.repeat(~_part(row, "held_out"), _part(row, "length"))]].astype(np.int64)
 
 
 def _score_block(row: dict, net: Network, lex: Lexicon, end_class: int) -> pa.RecordBatch:

@@ -338,6 +338,42 @@ def test_recurrent_model_beats_counts_on_held_out_documents(spark):
     assert sum(r.score for r in out) > sum(r.base_score for r in out)
 
 
+def test_network_learns_from_every_training_document(spark):
+    """Few documents, none of which a 5 % hash sample drew, still teach the order of their words."""
+    drawn = lambda i: W.mix(np.array([i], np.uint64) ^ np.uint64(recurrent_lm.SEED))[0] < np.uint64(int(0.05 * 2**64))
+    ids = [i for i in range(400) if not drawn(i)]
+    out = recurrent_lm.score(texts_of(spark, [(i, "red blue " * 100) for i in ids]).coalesce(1)).filter("held_out").collect()
+    assert len(out) > 50 and all(r.score > 0.5 * r.base_score for r in out)
+
+
+def test_learning_takes_the_gradient():
+    """The first step from a window goes down the loss by the sign of its numeric gradient."""
+    classes = np.random.default_rng(3).integers(0, 5, (recurrent_lm.WINDOW, recurrent_lm.STREAMS))
+    start = np.random.default_rng(4).normal(0, 0.3, recurrent_lm.Network().values.size).astype(np.float32)
+
+    def loss(values):
+        net, total = recurrent_lm.Network(values), 0.0
+        state, before = np.zeros((classes.shape[1], recurrent_lm.HIDDEN), np.float32), np.full(classes.shape[1], 1)
+        for now in classes:
+            state = net.step(state, before)[0]
+            total -= net.log_probability(state, now).astype(float).sum()
+            before = now
+        return total / classes.size
+
+    net = recurrent_lm.Network(start.copy())
+    net.learn(classes, 1)
+    moved, checked = net.values - start, 0
+    for k in np.random.default_rng(5).permutation(len(start))[:400]:
+        up, down = start.astype(float), start.astype(float)
+        up[k] += 1e-4
+        down[k] -= 1e-4
+        slope = (loss(up) - loss(down)) / 2e-4
+        if abs(slope) > 1e-4:
+            checked += 1
+            assert np.sign(moved[k]) == -np.sign(slope)
+    assert checked > 50
+
+
 def test_packing():
     values = np.random.default_rng(1).integers(0, 2**20, 5000).astype(np.uint32)
     assert (recurrent_lm.unpack(recurrent_lm.pack(values)) == values).all()
