@@ -16,8 +16,9 @@ by its shape wherever it stands in a document holding the entity; from
 words around a value, so copies of one passage count once): without it a
 ratio says nothing.  Terms are runs of ``TERM`` or more letters, in lower case.
 
-Contexts are taken beside the spans where the text lies; only words near spans
-are paired, so pairs grow with the spans.  Terms of the whole corpus are counted
+The terms beside a span are taken by place from all terms of its text, whatever
+lies between, found by binary search; only words near spans are paired, so pairs
+grow with the spans.  Terms of the whole corpus are counted
 with map-side combine.  Everything is joined on hashed keys, with no group held
 whole.
 
@@ -34,7 +35,6 @@ from pageloom.sources import scratch
 KINDS = ("email", "ip", "card", "phone")
 DISCLOSING = "term"
 WINDOW, TERM, SUPPORT = 6, 4, 3
-REACH = 160  # code points beside a value that are searched for its words
 GENERALISE, REMOVE = 0.9, 0.97
 
 #: The stated patterns, possessive where that cannot change a match, so that long runs cost linear time and no stack.
@@ -73,10 +73,11 @@ def holds(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
-BLOCK = 256
+BLOCK, TERM_BLOCK = 256, 32
+_TERMS = rf"\p{{L}}{{{TERM},}}"
 
 
-def _with_ends(rows: DataFrame, names: list[str]) -> DataFrame:
+def _with_ends(rows: DataFrame, names: list[str], size: int = BLOCK) -> DataFrame:
     """Adds ``e_x`` to arrays ``m_x`` of matches and ``p_x`` of pieces: where each match ends.
 
     Running lengths are taken within blocks and over blocks, so a text with very
@@ -90,13 +91,13 @@ def _with_ends(rows: DataFrame, names: list[str]) -> DataFrame:
 
     def before(name: str) -> Column:
         start = F.expr("named_struct('at', 0, 'out', cast(array() as array<int>))")
-        blocks = F.sequence(F.lit(0), F.floor((F.size(f"l_{name}") - 1) / BLOCK).cast("int"))
-        add = lambda a, b: F.struct((a["at"] + total(F.slice(f"l_{name}", b * BLOCK + 1, F.lit(BLOCK)))).alias("at"), F.array_append(a["out"], a["at"]).alias("out"))
+        blocks = F.sequence(F.lit(0), F.floor((F.size(f"l_{name}") - 1) / size).cast("int"))
+        add = lambda a, b: F.struct((a["at"] + total(F.slice(f"l_{name}", b * size + 1, F.lit(size)))).alias("at"), F.array_append(a["out"], a["at"]).alias("out"))
         return F.aggregate(blocks, start, add, lambda a: a["out"])
 
     def ends(name: str) -> Column:
-        block = lambda i: F.floor(i / BLOCK).cast("int")
-        return F.transform(f"l_{name}", lambda x, i: F.get(f"b_{name}", block(i)) + total(F.slice(f"l_{name}", block(i) * BLOCK + 1, i % BLOCK + 1)))
+        block = lambda i: F.floor(i / size).cast("int")
+        return F.transform(f"l_{name}", lambda x, i: F.get(f"b_{name}", block(i)) + total(F.slice(f"l_{name}", block(i) * size + 1, i % size + 1)))
 
     for prefix, of in (("l", lengths), ("b", before), ("e", ends)):
         rows = rows.select("*", *[F.when(F.size(f"m_{n}") > 0, of(n)).alias(f"{prefix}_{n}") for n in names])
@@ -107,7 +108,7 @@ def base_spans(rows: DataFrame) -> DataFrame:
     """Adds ``spans`` to rows with ``text``: kind, s, e, value, nearby terms and their context, by kind and start.
 
     A kind's matches alternate with the pieces between them, so the running
-    lengths of both give the places; pieces also hold the words around.
+    lengths of both give the places; so do the text's terms.
     """
     kept = [F.col(f"`{c}`") for c in rows.columns]
     none = F.array().cast("array<string>")
@@ -120,24 +121,44 @@ def base_spans(rows: DataFrame) -> DataFrame:
     pieces = found.select("*", *[F.when(F.size(f"m_{k}") > 0, F.split("text", PATTERNS[k], -1)).otherwise(none).alias(f"p_{k}") for k in KINDS])
     placed = _with_ends(pieces, list(KINDS))
 
-    def terms(text: Column) -> Column:
-        return F.regexp_extract_all(F.lower(text), F.lit(rf"\p{{L}}{{{TERM},}}"), F.lit(0))
-
     def spans(kind: str) -> Column:
         def span(m: Column, i: Column) -> Column:
-            before, after = F.get(f"p_{kind}", i), F.get(f"p_{kind}", i + 1)
-            # A word cut at the far end of the excerpt is left out.
-            left = F.when(F.length(before) > REACH, F.regexp_replace(F.substring(before, -REACH, REACH), r"^\p{L}+", "")).otherwise(before)
-            right = F.when(F.length(after) > REACH, F.regexp_replace(F.substring(after, 1, REACH), r"\p{L}+$", "")).otherwise(after)
             end = F.get(f"e_{kind}", i)
-            return F.struct(
-                F.lit(kind).alias("kind"), (end - F.length(m)).alias("s"), end.alias("e"), m.alias("value"),
-                F.reverse(F.slice(F.reverse(terms(left)), 1, WINDOW)).alias("left"), F.slice(terms(right), 1, WINDOW).alias("right"),
-            )
+            return F.struct(F.lit(kind).alias("kind"), (end - F.length(m)).alias("s"), end.alias("e"), m.alias("value"))
 
         return F.filter(F.transform(f"m_{kind}", span), lambda x: holds(kind, x["value"]))
 
-    return placed.select(*kept, F.concat(*[spans(k) for k in KINDS]).alias("spans"))
+    valid = placed.select(*kept, F.concat(*[spans(k) for k in KINDS]).alias("__spans"))
+    some = F.size("__spans") > 0
+    worded = valid.select(
+        "*", F.when(some, F.regexp_extract_all("text", F.lit(_TERMS), F.lit(0))).otherwise(none).alias("m___w"),
+        F.when(some, F.split("text", _TERMS, -1)).otherwise(none).alias("p___w"))
+    worded = _with_ends(worded, ["__w"], TERM_BLOCK)
+
+    def ended(place: Column) -> Column:
+        """How many terms end at the place or before."""
+        def halve(a: Column, _: Column) -> Column:
+            mid = F.floor((a["lo"] + a["hi"]) / 2).cast("int")
+            before = F.get("e___w", mid) <= place
+            halved = F.struct(F.when(before, mid + 1).otherwise(a["lo"]).alias("lo"), F.when(before, a["hi"]).otherwise(mid).alias("hi"))
+            return F.when(a["lo"] < a["hi"], halved).otherwise(a)
+
+        steps = F.sequence(F.lit(0), F.ceil(F.log2(F.size("m___w") + 1)).cast("int"))
+        return F.aggregate(steps, F.struct(F.lit(0).alias("lo"), F.size("m___w").alias("hi")), halve, lambda a: a["lo"])
+
+    def counted(x: Column) -> Column:
+        return F.struct(*[x[c].alias(c) for c in ("kind", "s", "e", "value")], ended(x["s"]).alias("before"), ended(x["e"]).alias("upto"))
+
+    def with_terms(x: Column) -> Column:
+        # A term that begins in the value and goes on beyond it is on neither side.
+        across = F.coalesce(F.get("e___w", x["upto"]) - F.length(F.get("m___w", x["upto"])) < x["e"], F.lit(False)).cast("int")
+        sides = {"left": (F.greatest(x["before"] - WINDOW, F.lit(0)), F.least(x["before"], F.lit(WINDOW))), "right": (x["upto"] + across, F.lit(WINDOW))}
+        return F.struct(
+            *[x[c].alias(c) for c in ("kind", "s", "e", "value")],
+            *[F.transform(F.slice("m___w", at + 1, n), F.lower).alias(side) for side, (at, n) in sides.items()])
+
+    placed = worded.select("*", F.transform("__spans", counted).alias("__counted"))
+    return placed.select(*kept, F.transform("__counted", with_terms).alias("spans"))
 
 
 def disclosing(spans: DataFrame, corpus: DataFrame) -> DataFrame:
@@ -149,7 +170,7 @@ def disclosing(spans: DataFrame, corpus: DataFrame) -> DataFrame:
     seen = near.groupBy("entity", "term", "context").agg(F.count("*").alias("n"))
     seen = seen.groupBy("entity", "term").agg(F.sum("n").alias("n_both"), F.count("*").alias("contexts")).filter(F.col("contexts") >= SUPPORT)
     seen = scratch.materialise(seen, "pairs")
-    words = corpus.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(rf"\p{{L}}{{{TERM},}}"), F.lit(0))).alias("term"))
+    words = corpus.select(F.explode(F.regexp_extract_all("text", F.lit(_TERMS), F.lit(0))).alias("term")).select(F.lower("term").alias("term"))
     counted = scratch.materialise(words.groupBy("term").agg(F.count("*").alias("n_term")), "terms")
     total = counted.agg(F.coalesce(F.sum("n_term"), F.lit(0))).first()[0]
     entities = spans.groupBy("entity").agg(F.count("*").alias("n_entity"))

@@ -98,6 +98,21 @@ def test_pii_disclosing_terms(spark):
     assert clean[0] == "[WORD] wrote to [EMAIL] about alpha today" and clean[300] == "Zarkovian alone"
 
 
+def test_pii_windows_are_terms_of_the_whole_text(spark):
+    rng = random.Random(12)
+    bits = ["Zarkovian", "born", "1985", "12-34", "pays", "with", "é", "Élan", "abc", "😀", "4111 1111 1111 1111", "a.name@corp.example", "+1 (555) 123-4567", "10.0.0.1", "-" * 200, "ünder", "x"]
+    texts = [" ".join(rng.choice(bits) for _ in range(rng.randrange(120))) for _ in range(60)] + ["Zarkovian, born 1985, pays with 4111 1111 1111 1111", "Zarkovian " + "- " * 200 + "a@b.example", "naïvea@b.exampleß4111111111111111", None]
+    texts.append(" ".join(["word", "mail@corp.example", "and", "Other"] * 300))
+    got = pii.base_spans(texts_of(spark, list(enumerate(texts)))).select("doc_id", "spans").collect()
+    assert len(got) == len(texts)
+    for r in got:
+        terms = [(m.start(), m.end(), m.group().lower()) for m in re.finditer(r"[^\W\d_]{4,}", texts[r.doc_id] or "")]
+        assert [f"{x.kind}:{x.s}:{x.e}" for x in r.spans] == brute.personal_data(texts[r.doc_id])
+        for x in r.spans:
+            assert x.left == [t for _, e, t in terms if e <= x.s][-6:]
+            assert x.right == [t for s, _, t in terms if s >= x.e][:6]
+
+
 def test_url_filter(spark):
     urls = [None, "", "no scheme", "a://", "http://EXAMPLE.com/en/x?y", "http://www.example.com/en/", "https://a.net/es/", "https://a.net/ES/", "x://b.org#/", "http://net/fr/\n#", "http://xcom/"]
     df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
