@@ -39,7 +39,7 @@ LONGEST = 5
 THRESHOLD = 100
 TOP = 2000
 COVERED = 100  # per cent of a candidate's count that a longer one must reach to replace it
-FLUSH_BYTES = 8 << 20
+FLUSH_BYTES = 2 << 20
 COUNTS = "lang string, phrase string, size int, f long"
 
 _U = np.uint64
