@@ -193,15 +193,16 @@ def _ranked(hits: DataFrame, top: int) -> DataFrame:
 
 def _search_batch(index: Index, items: list[tuple[int | None, set[str]]], top: int) -> DataFrame:
     spark = index.rows.sparkSession
+    # broadcast: a batch holds some BATCH_TERMS terms and those of one item more
     wanted = spark.createDataFrame([(t,) for t in sorted(set().union(*(t for _, t in items)))], "term string")
-    rows = index.rows.join(wanted, "term", "left_semi")
+    rows = index.rows.join(F.broadcast(wanted), "term", "left_semi")
     peaks = scratch.materialise(rows.groupBy("term", "m").agg(F.sum("n").alias("df"), F.max(F.element_at("tf", 1)).alias("tf")), "peaks")
     # at most one row for each term of the batch
     frequency = {r["term"]: r["df"] for r in peaks.groupBy("term").agg(F.sum("df").alias("df")).collect()}
     batch = Batch(items, frequency, index.N)
     shared = spark.sparkContext.broadcast(batch)
     uses = spark.createDataFrame([(k, t, batch.weight[t]) for k, terms in enumerate(batch.terms) for t in terms], "item int, term string, w long")
-    bounds = peaks.join(uses, "term").groupBy("item", "m").agg(F.sum(F.col("w") * _bound(F.col("tf").cast("long"), F.col("m"))).alias("bound"))
+    bounds = peaks.join(F.broadcast(uses), "term").groupBy("item", "m").agg(F.sum(F.col("w") * _bound(F.col("tf").cast("long"), F.col("m"))).alias("bound"))
     bounds = scratch.materialise(bounds.join(index.strata.select("m", "docs"), "m"), "bounds")
     held = F.sum("docs").over(Window.partitionBy("item").orderBy(F.desc("bound"), "m").rowsBetween(Window.unboundedPreceding, -1))
     first = scratch.materialise(bounds.withColumn("held", F.coalesce(held, F.lit(0))).filter(F.col("held") < FIRST_VISIT).select("m").distinct(), "visit")
@@ -219,7 +220,7 @@ def _search_batch(index: Index, items: list[tuple[int | None, set[str]]], top: i
     for r in seen.filter(F.col("rank") == top).select("item", "score").collect():  # one row for each item of the batch
         least[r["item"]] = r["score"]
     floor = spark.createDataFrame(list(enumerate(least)), "item int, least long")
-    rest = bounds.join(floor, "item").filter("bound >= least").select("m").distinct().join(first, "m", "left_anti")
+    rest = bounds.join(F.broadcast(floor), "item").filter("bound >= least").select("m").distinct().join(first, "m", "left_anti")
     hits = seen.select("item", "doc_id", "score").unionByName(visit(rest, least))
     ids = spark.createDataFrame(list(enumerate(batch.ids)), "item int, item_id long")
     return _ranked(hits, top).join(F.broadcast(ids), "item").select("item_id", F.col("rank").cast("int").alias("rank"), "doc_id", "score")
