@@ -91,7 +91,8 @@ class Anchors:
         empty = [np.empty(0, np.int64)]
         self.low, self.high, self.at = np.concatenate(lows or empty), np.concatenate(highs or empty), np.concatenate(ats or empty)
         self.text = np.searchsorted(offsets, self.low, "right") - 1
-        self.seed = W.range_hash(raw, self.at, self.at + SEED)
+        # mixed again, as the least hashes of many are not spread over all values
+        self.seed = W.mix(W.range_hash(raw, self.at, self.at + SEED) + _U(SEED))
 
     def region(self, keep: np.ndarray) -> np.ndarray:
         """Hash of all bytes of the strings at each kept anchor."""
@@ -169,7 +170,7 @@ def _suffixes(docs: DataFrame, borders: DataFrame) -> DataFrame:
                     pa.array(right, pa.binary()), pa.array(before, pa.binary()),
                 ], ["id", "key", "place", "right", "before"])
 
-    return _rows_of(docs, wanted).join(wanted, "key").select("id", "key", "text", "places").mapInArrow(cut, SUFFIXES)
+    return _rows_of(docs, wanted).join(wanted.hint("merge"), "key").select("id", "key", "text", "places").mapInArrow(cut, SUFFIXES)
 
 
 def matrix(values: pa.Array, width: int) -> np.ndarray:
@@ -336,7 +337,7 @@ def with_spans(docs: DataFrame) -> DataFrame:
     """``(doc_id, text, spans)`` of the rows that lose bytes; spans are byte ranges and may overlap."""
     docs = _keyed(docs)
     spans = repeated_spans(docs).groupBy("key").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
-    return docs.join(spans, "key").select("doc_id", "text", "spans")
+    return docs.join(spans.hint("merge"), "key").select("doc_id", "text", "spans")
 
 
 def dedup(docs: DataFrame) -> DataFrame:
@@ -345,7 +346,7 @@ def dedup(docs: DataFrame) -> DataFrame:
     spans = scratch.materialise(repeated_spans(docs).groupBy("key").agg(F.collect_set(F.struct("start", "end")).alias("spans")), "spans")
     touched = summaries.may_hold(docs.sparkSession.sparkContext.broadcast(summaries.members(spans.select("key"))), "key")
     none = F.array().cast("array<struct<start: bigint, end: bigint>>")
-    some = docs.filter(touched).join(spans, "key", "left").select("doc_id", "text", F.coalesce("spans", none).alias("spans"))
+    some = docs.filter(touched).join(spans.hint("merge"), "key", "left").select("doc_id", "text", F.coalesce("spans", none).alias("spans"))
     whole = docs.filter(~touched).select(
         "doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"),
         F.lit(0).cast("long").alias("n_spans"), F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
