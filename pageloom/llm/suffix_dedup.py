@@ -20,11 +20,13 @@ suffix in some forty bytes.  It carries the run of strings anchored there.
    reversed bytes before them, by multikey quicksort.  Strings at one offset are
    equal where they share a run of the first order as long as their right part
    and a run of the second as long as their left part; all but the first go.
-4. Strings in a bucket's first or last run may continue in the next bucket.
-   The first of each is compared across boundaries by its digest.
+4. Suffixes with one seed lie in one bucket, unless there are more of them than
+   a bucket holds.  Such a group is split by the bytes that follow, by those
+   before, and by id, so that a passage found in a third of all rows spreads over
+   as many buckets as it needs.  Strings of its first or last run in a bucket may
+   continue in the next one: the first of each is compared across boundaries by
+   its digest.
 
-Buckets hold equal suffixes apart by what precedes them and by id, so that a
-passage found in a third of all rows spreads over as many buckets as it needs.
 A null text is empty; null ids come first; rows of the same id and text lose
 the same bytes.  Texts shorter than ``LENGTH`` stay whole.  An empty table gives
 no rows.  Other columns are ignored.
@@ -53,7 +55,7 @@ RIGHT, LEFT = 104, 80  # bytes after and before an anchor, padded to words of ei
 FIRST_ID = -(2**63)
 
 ANCHORS = "seed long, region long, id long, key long, place long"
-SUFFIXES = "id long, key long, place long, right binary, before binary"
+SUFFIXES = "id long, key long, place long, hot boolean, right binary, before binary"
 #: ``digest`` is null for a removed span, else the first of equal strings, to be compared across buckets.
 MARKS = "id long, key long, start long, end long, digest binary"
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
@@ -149,26 +151,27 @@ def _rows_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def _suffixes(docs: DataFrame, borders: DataFrame) -> DataFrame:
-    """The bytes before and after every border's anchor."""
-    wanted = scratch.materialise(borders.groupBy("key").agg(F.collect_set("place").alias("places")), "borders")
+    """The bytes before and after every border's anchor; ``hot`` where its seed has more of them than a bucket holds."""
+    wanted = scratch.materialise(borders.groupBy("key").agg(F.collect_set(F.struct("place", "hot")).alias("places")), "borders")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in W.chunks(batch):
-                ids, keys, places, right, before = [], [], [], [], []
+                ids, keys, places, hot, right, before = [], [], [], [], [], []
                 for id_, key, text, own in zip(*(part.column(c) for c in ("id", "key", "text", "places")), strict=True):
                     raw = text.as_py().encode()
-                    for place in own.as_py():
+                    for place, many in (tuple(x.values()) for x in own.as_py()):
                         low, up, down = place >> 16, (place >> 8) & 255, place & 255
                         right.append(raw[low + up : low + up - down + LENGTH])
                         before.append(raw[low : low + up][::-1])
                         ids.append(id_)
                         keys.append(key)
                         places.append(place)
+                        hot.append(many)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([x.as_py() for x in ids], pa.int64()), pa.array([x.as_py() for x in keys], pa.int64()), pa.array(places, pa.int64()),
+                    pa.array([x.as_py() for x in ids], pa.int64()), pa.array([x.as_py() for x in keys], pa.int64()), pa.array(places, pa.int64()), pa.array(hot, pa.bool_()),
                     pa.array(right, pa.binary()), pa.array(before, pa.binary()),
-                ], ["id", "key", "place", "right", "before"])
+                ], ["id", "key", "place", "hot", "right", "before"])
 
     return _rows_of(docs, wanted).join(wanted.hint("merge"), "key").select("id", "key", "text", "places").mapInArrow(cut, SUFFIXES)
 
@@ -230,6 +233,7 @@ def compare(bucket: pa.Table) -> pa.Table:
     low, up, down = _unpack_place(places)
     right_order, left_order = multikey_order(right), multikey_order(before)
     right_shared, left_shared = common_prefix(right, right_order), common_prefix(before, left_order)
+    hot = bucket.column("hot").to_numpy()
     n = len(ids)
     marked = np.zeros((n, SPAN + 1), bool)
     open_rows, open_offsets = [], []
@@ -246,7 +250,7 @@ def compare(bucket: pa.Table) -> pa.Table:
         later = (ids[own] != ids[lead]) | (low[own] + up[own] != low[lead] + up[lead])
         marked[own[later], offset] = True
         outer = (suffix[own] == 0) | (suffix[own] == suffix[right_order[-1]])
-        first = own[~later & outer]
+        first = own[~later & outer & hot[own]]
         open_rows.append(first)
         open_offsets.append(np.full(len(first), offset))
     # a run of marked offsets of one anchor is one span
@@ -292,11 +296,12 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     up = F.shiftright("place", 8).bitwiseAND(255)
     folded = copies.select("key", low.alias("start"), (low + up - down + LENGTH).alias("end"))
 
-    shared = firsts.groupBy("seed").agg(F.count("*").alias("regions")).filter("regions > 1").select("seed")
-    borders = firsts.join(shared, "seed", "left_semi").select("first.*")
+    shared = firsts.groupBy("seed").agg(F.count("*").alias("regions")).filter("regions > 1")
+    borders = firsts.join(shared, "seed").select("first.*", (F.col("regions") > BUCKET_ROWS).alias("hot"))
     suffixes = scratch.materialise(_suffixes(long.select("id", "key", "text"), borders), "suffixes")
     buckets = max(1, -(-suffixes.count() // BUCKET_ROWS))
-    dealt = suffixes.repartitionByRange(buckets, "right", "before", "id", "key", "place")
+    within = [F.when(F.col("hot"), F.col(c)) for c in ("right", "before", "id", "key", "place")]
+    dealt = suffixes.repartitionByRange(buckets, F.substring("right", 1, SEED), *within)
     marks = scratch.materialise(dealt.mapInArrow(_bucketed, MARKS), "marks")
 
     begin = F.struct("id", "start")
