@@ -153,17 +153,24 @@ class Batch:
 
     def search(self, block: pa.Table, least: list[int], top: int) -> list[tuple[int, int | None, int]]:
         """Each item's ``top`` documents of one block that score ``least`` or more."""
-        m, ids, postings = block.column("m")[0].as_py(), [], {}
-        impacts: dict[int, int] = {}
-        for row in block.to_pylist():
-            if row["term"] is None:
-                ids = row["ids"]
-                continue
-            for tf in row["tf"]:
-                if tf not in impacts:
-                    impacts[tf] = impact(tf, m)
-            own = np.array([impacts[tf] for tf in row["tf"]], np.int64) * self.weight[row["term"]]
-            postings[row["term"]] = (np.array(row["places"], np.int64), np.repeat(own, np.diff([0, *row["ends"]])), int(own[0]))
+        block = block.combine_chunks()
+        m, term = block.column("m")[0].as_py(), block.column("term").combine_chunks()
+        head = int(np.flatnonzero(term.is_null().to_numpy(zero_copy_only=False))[0])
+        ids = block.column("ids")[head].as_py()
+        block = block.filter(term.is_valid())
+        terms = block.column("term").to_pylist()
+        tfs, ends, places = (block.column(c).combine_chunks() for c in ("tf", "ends", "places"))
+        runs = tfs.value_lengths().to_numpy()
+        tf, inverse = np.unique(tfs.flatten().to_numpy(), return_inverse=True)
+        impacts = np.array([impact(int(x), m) for x in tf], np.int64)  # once for each tf of the stratum
+        gain = impacts[inverse] * np.repeat(np.array([self.weight[t] for t in terms], np.int64), runs)
+        end = ends.flatten().to_numpy()
+        first_run = np.cumsum(runs) - runs
+        length = np.diff(end, prepend=0)
+        length[first_run] = end[first_run]
+        gains, places = np.repeat(gain, length), places.flatten().to_numpy().astype(np.int64)
+        stop = np.cumsum(block.column("n").to_numpy())
+        postings = {t: (places[a:b], gains[a:b], int(g)) for t, a, b, g in zip(terms, np.append(0, stop[:-1]), stop, gain[first_run], strict=True)} if terms else {}
         out, scores = [], np.zeros(len(ids), np.int64)
         for item, terms in enumerate(self.terms):
             here = [postings[t] for t in terms if t in postings]
