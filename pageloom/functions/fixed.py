@@ -61,7 +61,7 @@ MAX_DEPTH = 5
 BATCH_SIZE = 500
 MAX_ATTEMPTS = 3
 RATE_LIMIT = 600
-RATE_WINDOW = "60 seconds"
+RATE_SECONDS = 60
 VISIBLE_TASKS = 15
 HASH_SIZE = 8
 SIMILARITY_THRESHOLD = 5

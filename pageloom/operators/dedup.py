@@ -12,6 +12,8 @@ one slice, never with all their copies.
 from __future__ import annotations
 
 from functools import reduce
+from itertools import combinations
+from math import comb
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,60 +32,81 @@ SMALLEST_SLICE = 4_096
 # A slice is cut when comparing it with itself would cost more than this.
 PAIR_BUDGET = 50_000_000
 PAIRS_PER_ITEM = 2_000
+# Keys of a hash, and rows of one key that are not yet told apart by the other hash.
+MOST_KEYS = 64
+CROWDED = 2_000
 
 
-def _bands(t: int) -> list[tuple[int, int]]:
-    """``t + 1`` runs of characters as (shift, width in bits).
+def _cover(t: int) -> list[int]:
+    """Masks of hash characters of which two hashes within ``t`` agree on one at least.
 
-    Two hashes that differ in at most ``t`` characters agree on a whole run.
+    The characters are cut into ``r`` runs.  ``t`` differences touch at most
+    ``t`` runs, so all of some ``r - t`` runs agree.  The largest ``r`` with at
+    most ``MOST_KEYS`` choices gives the widest masks: 56 of 24 bits at 5.
     """
-    n = t + 1
-    cuts = [NIBBLES * i // n for i in range(n + 1)]
-    return [(4 * (NIBBLES - hi), 4 * (hi - lo)) for lo, hi in zip(cuts, cuts[1:])]
+    r = max(n for n in range(t + 1, NIBBLES + 1) if comb(n, t) <= MOST_KEYS)
+    cuts = [NIBBLES * i // r for i in range(r + 1)]
+    runs = [((1 << 4 * (hi - lo)) - 1) << 4 * (NIBBLES - hi) for lo, hi in zip(cuts, cuts[1:])]
+    masks = [sum(chosen) for chosen in combinations(runs, r - t)]
+    return [m - (1 << 64) if m >> 63 else m for m in masks]
 
 
-def _band(value: Column, shift: int, width: int) -> Column:
-    moved = F.shiftrightunsigned(value, shift) if shift else value
-    return moved if width == 64 else moved.bitwiseAND(F.lit((1 << width) - 1))
+def _keys(value: Column, t: int) -> Column:
+    """All ``(kind, key)`` of a hash: its characters under every mask."""
+    return F.array(*[F.struct(F.lit(k).alias("kind"), value.bitwiseAND(F.lit(m)).alias("key")) for k, m in enumerate(_cover(t))])
 
 
-def _banded(items: DataFrame, t: int) -> DataFrame:
-    """Each item once per pair of runs, as ``(kind, key)``."""
-    bands = _bands(t)
-    keys = [
-        F.struct(F.lit(i * len(bands) + j).alias("kind"),
-                 F.xxhash64(F.lit(i * len(bands) + j), _band(F.col("p"), *bi), _band(F.col("a"), *bj)).alias("key"))
-        for i, bi in enumerate(bands) for j, bj in enumerate(bands)
-    ]
-    return items.select("n", "p", "a", F.explode(F.array(*keys)).alias("b")).select("n", "p", "a", "b.kind", "b.key")
-
-
-def _first_equal(x: Column, t: int) -> Column:
-    """Number of the first run in which a XOR of two hashes is zero."""
+def _first_kind(x: Column, t: int) -> Column:
+    """The first mask under which a XOR of two hashes is zero."""
     out = F.lit(None).cast("int")
-    for i, (shift, width) in reversed(list(enumerate(_bands(t)))):
-        out = F.when(_band(x, shift, width) == 0, F.lit(i)).otherwise(out)
+    for k, m in reversed(list(enumerate(_cover(t)))):
+        out = F.when(x.bitwiseAND(F.lit(m)) == 0, F.lit(k)).otherwise(out)
     return out
 
 
-def _near(left: DataFrame, right: DataFrame, t: int, ordered: bool) -> DataFrame:
+def _spread(items: DataFrame, t: int) -> DataFrame:
+    return items.select("n", "p", "a", F.explode(_keys(F.col("p"), t)).alias("k")).select("n", "p", "a", "k.kind", "k.key")
+
+
+def _crowded(items: DataFrame, t: int) -> DataFrame | None:
+    """Keys of the perceptual hash that more than ``CROWDED`` of all items share; None if there is none."""
+    keys = materialise(_spread(items, t).groupBy("kind", "key").agg(F.count("*").alias("c")).filter(F.col("c") > CROWDED).select("kind", "key"), "crowded")
+    return None if keys.isEmpty() else keys
+
+
+def _keyed(items: DataFrame, crowded: DataFrame | None, t: int) -> DataFrame:
+    """Items once per key of the perceptual hash, ``(n, p, a, kind, key, a_kind, a_key)``.
+
+    A crowded key, as of images that share a perceptual hash, is split by the
+    keys of the average hash.
+    """
+    rows = _spread(items, t)
+    if crowded is None:
+        return rows.withColumns({"a_kind": F.lit(-1), "a_key": F.lit(0).cast("long")})
+    none = F.array(F.struct(F.lit(-1).alias("kind"), F.lit(0).cast("long").alias("key")))
+    rows = rows.join(crowded.withColumn("__many", F.lit(True)), ["kind", "key"], "left")
+    rows = rows.withColumn("k", F.explode(F.when(F.col("__many"), _keys(F.col("a"), t)).otherwise(none)))
+    return rows.select("n", "p", "a", "kind", "key", F.col("k.kind").alias("a_kind"), F.col("k.key").alias("a_key"))
+
+
+def _near(left: DataFrame, right: DataFrame, crowded: DataFrame | None, t: int, ordered: bool) -> DataFrame:
     """``(lo, hi)``: rows of ``right`` within ``t`` of rows of ``left``.
 
-    A banded equi-join.  Each pair passes only through the first runs it
-    shares, so it comes out once and needs no ``distinct``.
+    An equi-join on covering keys.  Each pair passes only through the first
+    keys it shares, so it comes out once and needs no ``distinct``.
     """
-    l, r = _banded(left, t).alias("l"), _banded(right, t).alias("r")
+    l, r = _keyed(left, crowded, t).alias("l"), _keyed(right, crowded, t).alias("r")
     px = F.col("l.p").bitwiseXOR(F.col("r.p"))
     ax = F.col("l.a").bitwiseXOR(F.col("r.a"))
     zero = F.lit(0).cast("long")
-    hit = (
-        (F.col("l.kind") == F.col("r.kind")) & (F.col("l.key") == F.col("r.key"))
-        & (nibble_distance(px, zero) <= t) & (nibble_distance(ax, zero) <= t)
-        & (_first_equal(px, t) * (t + 1) + _first_equal(ax, t) == F.col("l.kind"))
-    )
+    hit = (nibble_distance(px, zero) <= t) & (nibble_distance(ax, zero) <= t)
+    for c in ("kind", "key", "a_kind", "a_key"):
+        hit = hit & (F.col(f"l.{c}") == F.col(f"r.{c}"))
     if ordered:
         hit = hit & (F.col("l.n") < F.col("r.n"))
-    return l.join(r, hit).select(F.col("l.n").alias("lo"), F.col("r.n").alias("hi"))
+    pairs = l.join(r, hit).select(F.col("l.n").alias("lo"), F.col("r.n").alias("hi"), F.col("l.kind"), F.col("l.a_kind"), px.alias("px"), ax.alias("ax"))
+    once = (_first_kind(F.col("px"), t) == F.col("kind")) & ((F.col("a_kind") < 0) | (_first_kind(F.col("ax"), t) == F.col("a_kind")))
+    return pairs.filter(once).select("lo", "hi")
 
 
 def hashed(items: DataFrame) -> DataFrame:
@@ -105,26 +128,26 @@ def similar_pairs(items: DataFrame, leaders: DataFrame, t: int = fixed.SIMILARIT
         raise ValueError("at this threshold every item matches every leader")
     first = hashed(exact_hash_groups(items)).withColumnRenamed("first_ord", "n")
     lead = hashed(exact_hash_groups(leaders)).withColumnRenamed("first_ord", "n")
-    near = _near(lead, first, t, ordered=False)
+    near = _near(lead, first, _crowded(first, t), t, ordered=False)
     named = near.join(first.select(F.col("n").alias("hi"), "phash", "ahash"), "hi")
     return items.select("ord", "phash", "ahash").join(named, ["phash", "ahash"]).select("ord", F.col("lo").alias("leader_ord"))
 
 
-def _slice_cost(part: DataFrame, t: int) -> tuple[int, int]:
+def _slice_cost(part: DataFrame, crowded: DataFrame | None, t: int) -> tuple[int, int]:
     """Items in a slice, and comparisons needed inside it."""
     rows = part.count()
-    sizes = _banded(part, t).groupBy("key").agg(F.count("*").alias("c"))
+    sizes = _keyed(part, crowded, t).groupBy("kind", "key", "a_kind", "a_key").agg(F.count("*").alias("c"))
     cost = sizes.agg(F.sum(F.expr("cast(c as double) * (c - 1) / 2"))).first()[0]
     return rows, int(cost or 0)
 
 
-def _settle(part: DataFrame, t: int) -> tuple[DataFrame, DataFrame]:
+def _settle(part: DataFrame, crowded: DataFrame | None, t: int) -> tuple[DataFrame, DataFrame]:
     """Leaders of a slice, and its members as ``(n, leader_n)``.
 
     Rounds: an item whose earlier neighbours are all gone leads; whatever is
     near it belongs to it and is gone.
     """
-    pairs = materialise(_near(part, part, t, ordered=True), "near")
+    pairs = materialise(_near(part, part, crowded, t, ordered=True), "near")
     left, members = pairs, []
     while not left.isEmpty():
         heads = left.select("lo").distinct().join(left.select(F.col("hi").alias("lo")), "lo", "left_anti")
@@ -148,12 +171,13 @@ def _settle(part: DataFrame, t: int) -> tuple[DataFrame, DataFrame]:
 def _hash_leaders(first: DataFrame, t: int, slice_size: int) -> DataFrame:
     """``(n, leader_n)`` for numbered distinct hashes ``first(n, p, a)``."""
     total = first.count()
+    crowded = _crowded(first, t)
     undecided, settled = first, []
     done = 0
     while done < total:
         while True:
             part = materialise(undecided.filter(F.col("n").between(done + 1, done + slice_size)), "slice")
-            rows, cost = _slice_cost(part, t)
+            rows, cost = _slice_cost(part, crowded, t)
             if cost <= max(PAIR_BUDGET, PAIRS_PER_ITEM * rows) or slice_size <= SMALLEST_SLICE:
                 break
             slice_size = max(slice_size // 4, SMALLEST_SLICE)
@@ -161,13 +185,13 @@ def _hash_leaders(first: DataFrame, t: int, slice_size: int) -> DataFrame:
         slice_size *= GROWTH
         if not rows:
             continue
-        leaders, members = _settle(part, t)
+        leaders, members = _settle(part, crowded, t)
         leaders = materialise(leaders, "leaders")
         settled += [leaders.select("n", F.col("n").alias("leader_n")), members]
         if done < total:
             rest = undecided.filter(F.col("n") > done)
             covered = materialise(
-                _near(leaders, rest, t, ordered=False).groupBy(F.col("hi").alias("n")).agg(F.min("lo").alias("leader_n")),
+                _near(leaders, rest, crowded, t, ordered=False).groupBy(F.col("hi").alias("n")).agg(F.min("lo").alias("leader_n")),
                 "covered")
             settled.append(covered)
             undecided = materialise(rest.join(covered, "n", "left_anti"), "undecided")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pageloom.functions import fixed
@@ -36,15 +38,47 @@ def fetch_outcome(attempts: DataFrame, max_attempts: int = fixed.MAX_ATTEMPTS) -
         F.coalesce(F.floor(F.col("__code") / 2).cast("int") + 1, F.col("__tried")).alias("n_attempts"))
 
 
-def rate_audit(log: DataFrame, limit: int = fixed.RATE_LIMIT, window: str = fixed.RATE_WINDOW,
-               slide: str = "10 seconds") -> DataFrame:
-    """Sliding windows that hold more than ``limit`` requests."""
-    return (
-        log.groupBy(F.window("ts", window, slide).alias("w"))
-        .agg(F.count("*").alias("n_requests"))
-        .filter(F.col("n_requests") > limit)
-        .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "n_requests")
-    )
+#: Width of a time block of the rate audit, in windows.
+BLOCK_WINDOWS = 10
+
+
+def in_blocks(log: DataFrame, seconds: int) -> DataFrame:
+    """Rows of ``log`` with ``at`` (microseconds) and ``block``; those of a block's last window are in the next block too.
+
+    Every window then lies in one block, so blocks can be judged apart.
+    """
+    width = BLOCK_WINDOWS * seconds * 1_000_000
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    own = F.floor(at / width).cast("long")
+    next_too = at - own * width > width - seconds * 1_000_000
+    return log.withColumn("at", at).withColumn("block", F.explode(F.when(next_too, F.array(own, own + 1)).otherwise(F.array(own))))
+
+
+def rate_audit(log: DataFrame, limit: int = fixed.RATE_LIMIT, seconds: int = fixed.RATE_SECONDS) -> DataFrame:
+    """Every window ``(window_start, window_end]`` that ends at a request and holds more than ``limit``.
+
+    The windows are not those of a fixed raster: a breach in any ``seconds``
+    shows up in the one that ends with its last request.  Requests are counted
+    per instant first; a range frame then runs within each time block.  Rows
+    without a time are left out.
+    """
+    span = seconds * 1_000_000
+    instants = in_blocks(log.filter("ts is not null").groupBy("ts").agg(F.count("*").alias("n")), seconds)
+    frame = Window.partitionBy("block").orderBy("at").rangeBetween(1 - span, 0)
+    counted = instants.withColumn("n_requests", F.sum("n").over(frame))
+    own = F.col("block") == F.floor(F.col("at") / (BLOCK_WINDOWS * span))
+    return counted.filter(own & (F.col("n_requests") > limit)).select(
+        (F.col("ts") - F.make_dt_interval(secs=F.lit(seconds))).alias("window_start"), F.col("ts").alias("window_end"), "n_requests")
+
+
+def latest_reports(tasks: DataFrame, order: Sequence[str] = ("ts",)) -> DataFrame:
+    """The last report of every task: a task seen queued, running and completed is one row.
+
+    ``order`` tells which of a task's reports is the last.
+    """
+    state = [c for c in tasks.columns if c != "task_id"]
+    last = F.max_by(F.struct(*state), F.struct(*order))
+    return tasks.groupBy("task_id").agg(last.alias("__last")).select("task_id", "__last.*")
 
 
 def status_rollup(tasks: DataFrame) -> DataFrame:

@@ -673,9 +673,11 @@ def _(spark, sf):
 
 
 _WINDOWS = """
-    SELECT s AS window_start, s + INTERVAL '60 seconds' AS window_end, count(*) AS n_requests
-    FROM (SELECT time_bucket(INTERVAL '10 seconds', ts) - to_seconds(10 * unnest(range(6))) AS s FROM events)
-    GROUP BY ALL HAVING count(*) > 1"""
+    WITH instant AS (SELECT ts, epoch_us(ts) // 60000000 AS bucket, count(*) AS n FROM events WHERE ts IS NOT NULL GROUP BY ts),
+         around AS (SELECT d.ts, e.n, e.ts AS other FROM instant d JOIN instant e ON e.bucket = d.bucket
+                    UNION ALL SELECT d.ts, e.n, e.ts FROM instant d JOIN instant e ON e.bucket = d.bucket - 1)
+    SELECT ts - INTERVAL '60 seconds' AS window_start, ts AS window_end, CAST(sum(n) AS BIGINT) AS n_requests
+    FROM around WHERE other <= ts AND other > ts - INTERVAL '60 seconds' GROUP BY ts HAVING sum(n) > 1"""
 
 
 @query("rate_audit", _WINDOWS)
@@ -713,28 +715,38 @@ def _stream(spark, sf, name, schema):
     return spark.readStream.schema(schema).parquet(f"{sf}/{name}[.]parquet")
 
 
-@query("stream_discover", "SELECT DISTINCT page_id % 4 AS site, url FROM raw_normal WHERE url IS NOT NULL AND url <> ''")
+_ADDRESSES = "SELECT DISTINCT page_id % 4 AS site, url FROM raw_normal WHERE url IS NOT NULL AND url <> ''"
+
+
+@query("stream_discover", _ADDRESSES)
 def _(spark, sf):
     arriving = _stream(spark, sf, "pages", tb.PAGES).withColumn("site", F.col("page_id") % 4)
     out = scratch.new_path(spark, "stream")
-    st.run_available(st.stream_discover(arriving), f"{out}/rows", f"{out}/state")
+    st.discover_into(arriving, f"{out}/rows", f"{out}/state").awaitTermination()
     return spark.read.schema("site long, url string").parquet(f"{out}/rows")
 
 
-@query("stream_monitor", _ROLLUP)
+@query("stream_monitor", """
+    SELECT count(*) AS total, count(*) FILTER (WHERE status = 'IN_PROGRESS') AS active, count(*) FILTER (WHERE status = 'COMPLETED') AS completed,
+      count(*) FILTER (WHERE status = 'FAILED') AS failed, round(sum(memory_mb), 4) AS memory_mb
+    FROM (SELECT CASE event_type WHEN 'view' THEN 'QUEUED' WHEN 'click' THEN 'IN_PROGRESS' WHEN 'error' THEN 'FAILED' ELSE 'COMPLETED' END AS status,
+            value AS memory_mb, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS back FROM events) WHERE back = 1""")
 def _(spark, sf):
     kind = F.col("event_type")
     tasks = _stream(spark, sf, "events", tb.EVENTS).select(
+        F.col("user_id").cast("string").alias("task_id"), "ts", "event_id", F.col("ts").alias("start_time"),
+        F.when(~kind.isin("view", "click"), F.col("ts")).alias("end_time"),
         F.when(kind == "view", "QUEUED").when(kind == "click", "IN_PROGRESS").when(kind == "error", "FAILED").otherwise("COMPLETED").alias("status"),
         F.col("value").alias("memory_mb"))
     out = scratch.new_path(spark, "stream")
-    st.run_available(st.stream_monitor(tasks), f"{out}/rows", f"{out}/state", "complete")
-    rows = spark.read.parquet(f"{out}/rows")
+    st.run_monitor(st.stream_monitor(tasks, ("ts", "event_id")), out, f"{out}/state")
+    rows = spark.read.parquet(f"{out}/totals")
     newest = rows.agg(F.max("batch")).first()[0]
     return rows.filter(F.col("batch") == newest).drop("batch").withColumn("memory_mb", F.round("memory_mb", 4))
 
 
-@query("stream_rate_audit", f"SELECT * FROM ({_WINDOWS}) WHERE window_end <= (SELECT max(ts) - INTERVAL '10 minutes' FROM events)")
+@query("stream_rate_audit", f"""SELECT * FROM ({_WINDOWS})
+    WHERE epoch_us(window_end) // 600000000 * 600 + 600 <= (SELECT epoch_us(max(ts)) / 1000000 - 600 FROM events)""")
 def _(spark, sf):
     log = _stream(spark, sf, "events", tb.EVENTS).select(F.col("ts").cast("timestamp").alias("ts"))
     out = scratch.new_path(spark, "stream")

@@ -55,7 +55,7 @@ def _items(seed, n, t):
     return [(i, p, a) for i, (p, a) in enumerate(pool)]
 
 
-@pytest.mark.parametrize("t,slice_size", [(0, 100), (1, 1000), (5, 25), (8, 60)])
+@pytest.mark.parametrize("t,slice_size", [(0, 100), (1, 1000), (3, 200), (5, 25), (9, 200), (12, 200)])
 def test_leader_groups_equal_one_by_one(spark, t, slice_size, monkeypatch):
     monkeypatch.setattr(dd, "SMALLEST_SLICE", 10)
     items = _items(t * 7 + slice_size, 160, t)
@@ -94,6 +94,37 @@ def test_similar_pairs_equal_brute_force(spark, t):
     assert {tuple(r) for r in got} == want and len(got) == len(want)
 
 
+@pytest.mark.parametrize("equal", ["ahash", "phash"])
+def test_images_of_one_hash_are_told_apart_by_the_other(spark, equal):
+    """Items that share one of their hashes have few candidates."""
+    other = "phash" if equal == "ahash" else "ahash"
+    items = spark.range(40_000 if equal == "ahash" else 5_000).select(F.col("id").alias("n"), F.lit("00ff00ff00ff00ff").alias(equal), F.substring(F.md5(F.col("id").cast("string")), 1, 16).alias(other))
+    items = dd.hashed(items)
+    sizes = dd._keyed(items, dd._crowded(items, 5), 5).groupBy("kind", "key", "a_kind", "a_key").agg(F.count("*").alias("c"))
+    assert sizes.agg(F.expr("sum(cast(c as double) * (c - 1) / 2)")).first()[0] < 400_000
+    own = sizes.groupBy("a_kind").agg(F.expr("sum(c * (c - 1) / 2)").alias("pairs"))
+    assert equal == "phash" or own.first()["pairs"] < 100_000
+
+
+def test_crowded_keys_lose_no_pair(spark, monkeypatch):
+    monkeypatch.setattr(dd, "CROWDED", 3)
+    monkeypatch.setattr(dd, "SMALLEST_SLICE", 10)
+    for t in (5,):
+        items = _items(t + 50, 120, t)
+        df = spark.createDataFrame(items, "ord long, phash string, ahash string")
+        assert {r.ord: r.leader_ord for r in dd.leader_groups(df, t, 60).collect()} == _one_by_one(items, t)
+
+
+def test_masks_cover_every_difference():
+    rng = random.Random(5)
+    for t in range(16):
+        masks = dd._cover(t)
+        assert len(masks) <= dd.MOST_KEYS
+        for _ in range(200):
+            x = sum(rng.randrange(1, 16) << 4 * k for k in rng.sample(range(16), t))
+            assert any(m & x == 0 for m in masks)
+
+
 def test_similarity_join_has_no_nested_loop(spark):
     df = spark.createDataFrame(_items(1, 20, 5), "ord long, phash string, ahash string")
     plan = dd.similar_pairs(df, df, 5)._jdf.queryExecution().executedPlan().toString()
