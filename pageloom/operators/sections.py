@@ -9,9 +9,6 @@ from pageloom.functions.urls import path_section, with_url_parts
 from pageloom.operators.domains import filter_internal, with_main_domain
 from pageloom.operators.ranking import with_row_number
 
-# Links per JSON document: a domain with more gets several documents.
-DOCUMENT_LINKS = 10_000
-
 
 def distinct_links(links: DataFrame, order: str = "ord") -> DataFrame:
     """Links that differ by more than case, each in its first spelling."""
@@ -56,16 +53,18 @@ def sections(links: DataFrame, suffixes) -> DataFrame:
         "domain", "section", F.col("href").alias("url"))
 
 
-def sections_json(rows: DataFrame, per_document: int = DOCUMENT_LINKS) -> DataFrame:
-    """``(domain, part, json)`` with ``{domain: {section: [urls]}}``.
+def sections_json(rows: DataFrame) -> DataFrame:
+    """``(domain, section, pos, json)``: one JSON object ``{domain, section, pos, url}`` for each link.
 
-    Links are sorted by section and spelling.  A domain with more than
-    ``per_document`` links continues in further parts, so no row grows without
-    bound.
+    ``pos`` is the link's place in its sorted section.  The shape is the same
+    for a site of ten links and one of ten million.
     """
-    placed = with_row_number(rows.select("domain", "section", "url"), ["domain"], ["section", "url"], "__n")
-    part = F.floor((F.col("__n") - 1) / per_document).cast("long")
-    lists = placed.groupBy("domain", part.alias("part"), "section").agg(F.array_sort(F.collect_list("url")).alias("urls"))
-    nested = lists.groupBy("domain", "part").agg(
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct("section", "urls")))).alias("sections"))
-    return nested.select("domain", "part", F.to_json(F.create_map("domain", "sections")).alias("json"))
+    placed = with_row_number(rows.select("domain", "section", "url"), ["domain", "section"], ["url"], "pos")
+    return placed.select("domain", "section", "pos", F.to_json(F.struct("domain", "section", "pos", "url")).alias("json"))
+
+
+def sections_document(rows: DataFrame) -> DataFrame:
+    """``(domain, json)`` with ``{domain: {section: [urls]}}``, for callers whose sites fit one row each."""
+    lists = rows.groupBy("domain", "section").agg(F.array_sort(F.collect_list("url")).alias("urls"))
+    nested = lists.groupBy("domain").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("section", "urls")))).alias("sections"))
+    return nested.select("domain", F.to_json(F.create_map("domain", "sections")).alias("json"))

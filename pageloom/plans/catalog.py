@@ -428,6 +428,15 @@ def _(spark, sf):
     return em.extend_results(rows, rows.filter("n = 0"))
 
 
+#: All numbers of a vector in millionths, as both sides write them.
+def _whole(vector):
+    return F.concat_ws(",", F.transform(vector, lambda x: F.round(x.cast("double") * 1_000_000).cast("long").cast("string")))
+
+
+def _whole_sql(vector: str) -> str:
+    return f"array_to_string(list_transform({vector}, lambda x: CAST(CAST(round(x * 1000000) AS BIGINT) AS VARCHAR)), ',')"
+
+
 # -- scalar functions ------------------------------------------------------
 
 @query("url_parts", f"SELECT page_id, pos, form, lower(u.scheme) AS scheme, u.netloc AS netloc, {o._path('u.scheme', 'u.path')} AS path, {o._params('u.scheme', 'u.path')} AS params, u.query AS query, u.fragment AS fragment FROM forms_normal_parts")
@@ -440,9 +449,9 @@ def _(spark, sf):
     return dm.with_main_domain(v.pages(spark, sf).select("page_id", "url"), "url", v.SUFFIXES).select("page_id", "main_domain")
 
 
-@query("resolve_link", "SELECT page_id, pos, form, joined AS link FROM forms_normal WHERE form NOT IN (1, 2, 4, 8)")
+@query("resolve_link", "SELECT page_id, pos, form, CASE WHEN form IN (4, 8) THEN href WHEN form IN (1, 2) THEN page_url ELSE joined END AS link FROM forms_normal")
 def _(spark, sf):
-    rows = v.link_forms(spark, sf).filter(~F.col("form").isin(1, 2, 4, 8))
+    rows = v.link_forms(spark, sf)
     return rows.select("page_id", "pos", "form", u.resolve_link(F.col("href"), F.col("page_url")).alias("link"))
 
 
@@ -464,9 +473,9 @@ def _(spark, sf):
 
 
 @query("path_section", r"""SELECT page_id, pos, form, CASE WHEN s = '' THEN 'root' ELSE s END AS section
-    FROM (SELECT *, lower(string_split(trim(regexp_replace(path, ';[^/]*$', ''), '/'), '/')[1]) AS s FROM (""" + _PATHS + r") WHERE form NOT IN (7))")
+    FROM (SELECT *, lower(string_split(trim(regexp_replace(path, ';[^/]*$', ''), '/'), '/')[1]) AS s FROM (""" + _PATHS + r") )")
 def _(spark, sf):
-    rows = _paths(spark, sf).filter("form <> 7")
+    rows = _paths(spark, sf)
     return rows.select("page_id", "pos", "form", u.path_section(F.col("path")).alias("section"))
 
 
@@ -525,16 +534,11 @@ def _(spark, sf):
     return v.img_items(spark, sf).select("ord", hashes.perceptual_hash(F.col("px"), 8).alias("phash"))
 
 
-@query("embedding_json", """SELECT image_path, i AS face_index, len(f) AS n, round(f[1], 6) AS first, round(f[64], 6) AS last
+@query("embedding_json", f"""SELECT image_path, i AS face_index, {_whole_sql('f')} AS vector
     FROM (SELECT image_path, generate_subscripts(faces, 1) - 1 AS i, unnest(faces)::DOUBLE[] AS f FROM faces)""")
 def _(spark, sf):
-    rows = em.embedding_json(em.explode_faces(v.faces(spark, sf)))
-
-    def at(n: int):
-        return F.round(F.get_json_object("embedding", f"$[{n}]").cast("double"), 6)
-
-    return rows.select("image_path", "face_index", F.json_array_length("embedding").alias("n"),
-                       at(0).alias("first"), at(63).alias("last"))
+    rows = em.embedding_array(em.embedding_json(em.explode_faces(v.faces(spark, sf))))
+    return rows.select("image_path", "face_index", _whole(F.col("embedding")).alias("vector"))
 
 
 # -- nested data -----------------------------------------------------------
@@ -566,19 +570,30 @@ def _(spark, sf):
     return ln.extract_tags(v.pages(spark, sf).withColumn("html", html)).select("page_id", "kind", "pos", "value")
 
 
-@query("face_explode", "SELECT image_path, generate_subscripts(faces, 1) - 1 AS face_index, round(unnest(faces)[1], 4) AS first FROM faces")
+_FACES = f"""SELECT image_path, i AS face_index, {_whole_sql('f')} AS vector
+    FROM (SELECT image_path, generate_subscripts(faces, 1) - 1 AS i, unnest(faces)::DOUBLE[] AS f FROM faces)"""
+
+
+@query("face_explode", _FACES)
 def _(spark, sf):
     rows = em.explode_faces(v.faces(spark, sf))
-    return rows.select("image_path", "face_index", F.round(F.col("embedding")[0], 4).alias("first"))
+    return rows.select("image_path", "face_index", _whole(F.col("embedding")).alias("vector"))
 
 
 @query("sections_json", """
-    SELECT domain, 0 AS part, concat('{', to_json(domain), ':{', string_agg(concat(to_json(section), ':', urls), ',' ORDER BY section), '}}') AS json
-    FROM (SELECT domain, section, to_json(list(href ORDER BY href)) AS urls FROM section_folded GROUP BY ALL) GROUP BY 1""")
+    SELECT domain, section, pos, to_json(struct_pack(domain := domain, section := section, pos := pos, url := url)) AS json
+    FROM (SELECT domain, section, href AS url, row_number() OVER (PARTITION BY domain, section ORDER BY href) AS pos FROM section_folded)""")
 def _(spark, sf):
     return sc.sections_json(sc.sections(v.section_links(spark, sf), v.SUFFIXES))
 
 
+@query("sections_document", """
+    SELECT domain, concat('{', to_json(domain), ':{', string_agg(concat(to_json(section), ':', urls), ',' ORDER BY section), '}}') AS json
+    FROM (SELECT domain, section, to_json(list(href ORDER BY href)) AS urls FROM section_folded GROUP BY ALL) GROUP BY 1""")
+def _(spark, sf):
+    return sc.sections_document(sc.sections(v.section_links(spark, sf), v.SUFFIXES))
+
+
 @query("report_rows", "SELECT site, concat('Depth Level ', depth) AS sheet, page_url, coalesce(image_url, '') AS image_url FROM report")
 def _(spark, sf):
     rows = rp.join_pages_images(v.walked(spark, sf), v.walked_images(spark, sf))
@@ -646,13 +661,13 @@ def _(spark, sf):
     return sc.sections(v.section_links(spark, sf), v.SUFFIXES)
 
 
-@query("embed_images", """
+@query("embed_images", f"""
     SELECT concat('img/', vec_id, CASE WHEN label % 2 = 0 THEN '.JPG' ELSE '.webp' END) AS image_path, h AS face_index,
-      round(embedding[1 + 32 * h], 4) AS first
+      {_whole_sql('(embedding[1 + 32 * h:32 + 32 * h])::DOUBLE[]')} AS vector
     FROM embeddings CROSS JOIN (VALUES (0), (1)) AS t(h) WHERE embedding[1] > 0""")
 def _(spark, sf):
     rows = em.explode_faces(em.embed_images(im.keep_images_ext(v.vector_images(spark, sf), "image_path"), cp.halves, 32))
-    return rows.select("image_path", "face_index", F.round(F.col("embedding")[0], 4).alias("first"))
+    return rows.select("image_path", "face_index", _whole(F.col("embedding")).alias("vector"))
 
 
 @query("full_chain", """
@@ -780,21 +795,25 @@ def _(spark, sf):
     return spark.read.parquet(out)
 
 
-@query("sink_sections", "SELECT domain, href AS url FROM section_folded")
+@query("sink_sections", """
+    SELECT domain, section, href AS url, row_number() OVER (PARTITION BY domain, section ORDER BY href) AS pos, true AS indexed FROM section_folded""")
 def _(spark, sf):
     out = scratch.new_path(spark, "sink")
     sinks.sink_sections(sc.sections(v.section_links(spark, sf), v.SUFFIXES), out)
-    doc = F.from_json("value", "map<string, map<string, array<string>>>")
-    sections = spark.read.text(out).select(F.explode(doc).alias("domain", "sections"))
-    return sections.select("domain", F.explode("sections").alias("section", "urls")).select("domain", F.explode("urls").alias("url"))
+    line = F.from_json("value", "domain string, section string, pos long, url string")
+    lines = spark.read.text(f"{out}/lines").select(line.alias("line"), F.col("_metadata.file_name").alias("file")).select("line.*", "file")
+    held = spark.read.parquet(f"{out}/index").withColumnRenamed("domain", "d").withColumnRenamed("file", "f")
+    inside = (F.col("domain") == F.col("d")) & (F.col("file") == F.col("f"))
+    indexed = F.coalesce(F.col("section").between(F.col("first_section"), F.col("last_section")), F.lit(False))
+    return lines.join(held, inside, "left").select("domain", "section", "url", "pos", indexed.alias("indexed"))
 
 
-@query("sink_embeddings", "SELECT image_path, generate_subscripts(faces, 1) - 1 AS face_index, round(unnest(faces)[1], 4) AS first FROM faces")
+@query("sink_embeddings", _FACES)
 def _(spark, sf):
     out = scratch.new_path(spark, "sink")
     sinks.sink_embeddings(em.explode_faces(v.faces(spark, sf)), out)
     rows = em.embedding_array(tb.read_table(spark, out, "image_path string, face_index int, embedding string", "csv"))
-    return rows.select("image_path", "face_index", F.round(F.col("embedding")[0], 4).alias("first"))
+    return rows.select("image_path", "face_index", _whole(F.col("embedding")).alias("vector"))
 
 
 @query("sink_dedup", "SELECT group_no, rank, ord, action FROM ranked")

@@ -55,9 +55,19 @@ def sink_summary(summary: DataFrame, path: str, fmt: str = "parquet") -> None:
 
 
 def sink_sections(sections: DataFrame, path: str) -> None:
-    """``{domain: {section: [urls]}}`` as JSON text lines, a folder per domain."""
-    rows = _placed(sections_json(sections), ["domain", "part"])
-    rows.select("domain", F.col("json").alias("value")).write.mode("overwrite").partitionBy("domain").text(path)
+    """JSON lines in order of domain, section and link under ``lines``, and where each domain is under ``index``.
+
+    Small domains share a file, large ones go on in the next.  The index has
+    ``(domain, file, n_lines, first_section, last_section)``.
+    """
+    spark = sections.sparkSession
+    _placed(sections_json(sections), ["domain", "section", "pos"]).select(F.col("json").alias("value")).write.mode("overwrite").text(f"{path}/lines")
+    lines = spark.read.text(f"{path}/lines").select(
+        F.get_json_object("value", "$.domain").alias("domain"), F.get_json_object("value", "$.section").alias("section"),
+        F.col("_metadata.file_name").alias("file"))
+    index = lines.groupBy("domain", "file").agg(
+        F.count("*").alias("n_lines"), F.min("section").alias("first_section"), F.max("section").alias("last_section"))
+    _placed(index, ["domain", "file"]).write.mode("overwrite").parquet(f"{path}/index")
 
 
 def sink_embeddings(rows: DataFrame, path: str) -> bool:

@@ -1,3 +1,4 @@
+import json
 import random
 
 import pytest
@@ -10,6 +11,7 @@ from pageloom.operators import report as rp
 from pageloom.operators import sections as sc
 from pageloom.operators.ranking import with_row_number
 from pageloom.plans import views as v
+from pageloom.sources import sinks
 from pageloom.sources import tables as tb
 
 
@@ -158,11 +160,22 @@ def test_sections(spark):
     assert rows(got.select("section", "url")) == [
         ("blog", "https://x.com/Blog/B"), ("blog", "https://x.com/blog/a"),
         ("root", "https://notx.com/q"), ("root", "https://x.com/"), ("root", "https://x.com/Lone/1")]
-    assert rows(sc.sections_json(got).select("json")) == [(
+    assert rows(sc.sections_document(got).select("json")) == [(
         '{"https://x.com":{"blog":["https://x.com/Blog/B","https://x.com/blog/a"],'
         '"root":["https://notx.com/q","https://x.com/","https://x.com/Lone/1"]}}',)]
-    parts = sc.sections_json(got, per_document=2)
-    assert parts.count() == 3
+    assert rows(sc.sections_json(got).filter("section = 'blog'").select("pos", "json")) == [
+        (1, '{"domain":"https://x.com","section":"blog","pos":1,"url":"https://x.com/Blog/B"}'),
+        (2, '{"domain":"https://x.com","section":"blog","pos":2,"url":"https://x.com/blog/a"}')]
+
+
+def test_section_lines_are_ordered_and_indexed(spark, tmp_path):
+    links = [(f"https://d{i % 3}.com", "s" if i % 2 else "root", f"https://d{i % 3}.com/{i:04}") for i in range(300)]
+    sinks.sink_sections(spark.createDataFrame(links, "domain string, section string, url string"), str(tmp_path / "out"))
+    files = sorted((tmp_path / "out" / "lines").glob("part-*"))
+    lines = [json.loads(x) for f in files for x in f.read_text().splitlines()]
+    assert [(x["domain"], x["section"], x["url"]) for x in lines] == sorted(links)
+    index = spark.read.parquet(str(tmp_path / "out" / "index"))
+    assert rows(index.groupBy("domain").agg(F.sum("n_lines"))) == [(f"https://d{i}.com", 100) for i in range(3)]
 
 
 def test_seed_selection(spark):
