@@ -224,7 +224,7 @@ def digest(found: DataFrame) -> DataFrame:
     counts = [(F.size("spans") - n).cast("long").alias(f"n_{k}") for k, n in zip(KINDS, counts, strict=True)]
     base, added = _listed(F.col("spans")), _listed(F.col("terms"))
     every = F.concat_ws(",", F.when(base != "", base), F.when(added != "", added))
-    return found.select("doc_id", *counts, F.size("terms").cast("long").alias("n_terms"), F.sha2(base, 256).alias("base_sha256"), every.alias("spans"))
+    return found.select("doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), every.alias("spans"), F.size("terms").cast("long").alias("n_terms"))
 
 
 def sanitise(docs: DataFrame) -> DataFrame:

@@ -71,7 +71,7 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of every document and the verdict of the weighed rules."""
-    columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "posterior", "base_failed", "kept"]
+    columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "posterior"]
     return quality_rules.judge(table(spark, sf_dir, "documents")).select(*columns)
 
 

@@ -118,8 +118,8 @@ def default_table(spark: SparkSession) -> DataFrame:
 
 
 def judge(pages: DataFrame, rules: list[Rule], model: Model, block: float = BLOCK) -> DataFrame:
-    """``(page_id, host, path, rule, score, verdict)`` of every page."""
+    """``(page_id, host, path, rule, verdict, score)`` of every page."""
     parts = with_grams(pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").alias("url")))
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     scored = parts.select("page_id", "host", "path", rule.alias("rule"), verdict.alias("by_rule"), model.score(F.col("grams")).alias("score"))
-    return scored.select("page_id", "host", "path", "rule", "score", F.coalesce("by_rule", F.when(F.col("score") >= block, "block").otherwise("allow")).alias("verdict"))
+    return scored.select("page_id", "host", "path", "rule", F.coalesce("by_rule", F.when(F.col("score") >= block, "block").otherwise("allow")).alias("verdict"), "score")
