@@ -6,6 +6,7 @@ import brute
 import corpus_pipeline
 from pageloom.llm import quality_gam, queries
 from pageloom.sources import scratch
+from pyspark.sql import functions as F
 
 
 def test_stages(spark, sf):
@@ -32,3 +33,11 @@ def test_stages(spark, sf):
         docs, seen = after, ids
     rows = corpus_pipeline.run(spark, sf).select("doc_id", "size").collect()
     assert Counter(r.doc_id for r in rows) == Counter(seen)
+
+
+def test_mixing_keeps_the_callers_columns(spark, sf):
+    docs = queries.table(spark, sf, "documents").withColumn("domain", F.lit("mine")).withColumn("row", F.lit(1)).withColumn("epoch", F.lit(-1))
+    mixed = corpus_pipeline.mix_sources(spark, docs, sf)
+    assert mixed.columns == docs.columns
+    assert {(r.domain, r.row, r.epoch) for r in mixed.select("domain", "row", "epoch").distinct().collect()} == {("mine", 1, -1)}
+    assert corpus_pipeline.mix_sources(spark, docs.limit(0), sf).count() == 0
