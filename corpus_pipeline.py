@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pageloom.llm import decontaminate, jaccard_join, mixing, quality_gam, queries, sharding
 from pageloom.sources import scratch
@@ -33,8 +34,9 @@ def clean_of_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in the shares of the target weights; one taken in two epochs appears twice, one taken in part stays whole."""
-    mixed = mixing.mix(queries.with_domain(docs), queries.WEIGHTS, carry=tuple(docs.columns))
-    return mixed.select("row.*")
+    packed = docs.select("doc_id", "text", "lang", "source", F.struct("*").alias("document"))
+    mixed = mixing.mix(queries.with_domain(packed), queries.WEIGHTS, carry=("document",))
+    return mixed.select("row.document.*")
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
