@@ -206,6 +206,29 @@ def limits_table(spark, limits: Sequence[int | str | None], max_depth: int) -> D
     return spark.createDataFrame(rows, "depth int, max_urls int")
 
 
+def with_limit(level: DataFrame, limits: DataFrame) -> DataFrame:
+    """Addresses of a level with the ``max_urls`` of their depth; null is no limit."""
+    return level.join(limits, "depth", "left")
+
+
+def with_result(level: DataFrame, pages: DataFrame) -> DataFrame:
+    """Addresses with the ``page_id`` of their page and ``success``, paired by address."""
+    table = page_key(pages, "url", "key").select("key", "page_id")
+    return level.withColumn("key", F.col("url")).join(table, "key", "left").drop("key").withColumn(
+        "success", F.col("page_id").isNotNull())
+
+
+def union_levels(crawled: DataFrame, discovered: DataFrame) -> DataFrame:
+    """``(site, url, kind)`` of what was walked and of what was found."""
+    part = lambda df, kind: df.select("site", "url", F.lit(kind).alias("kind"))
+    return part(crawled, "crawled").unionByName(part(discovered, "discovered"))
+
+
+def visited(found: DataFrame) -> DataFrame:
+    """Each address of a site once."""
+    return found.select("site", "url").distinct()
+
+
 def level_stats(frontier: DataFrame, limits: DataFrame, size: int = fixed.BATCH_SIZE) -> DataFrame:
     """Per site and depth: addresses found, limit, addresses taken, batches."""
     if size < 1:

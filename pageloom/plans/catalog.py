@@ -189,14 +189,12 @@ def _(spark, sf):
     LEFT JOIN (VALUES (0, NULL), (1, 2), (2, NULL), (3, 4)) AS l(depth, max_urls) ON l.depth = w.depth""")
 def _(spark, sf):
     limits = fr.limits_table(spark, v.LIMITS, 3)
-    return v.walked(spark, sf).join(limits, "depth", "left").select("site", "depth", "url", "max_urls")
+    return fr.with_limit(v.walked(spark, sf), limits).select("site", "depth", "url", "max_urls")
 
 
 @query("join_url_result", "SELECT f.site, f.url, p.page_id IS NOT NULL AS success FROM (SELECT DISTINCT site, url FROM found) f LEFT JOIN site_pages p ON p.url = f.url")
 def _(spark, sf):
-    table = fr.page_key(v.site_pages(spark, sf), "url", "key").select("key", "page_id")
-    level = fr.first_seen(v.found(spark, sf)).withColumn("key", F.col("url"))
-    return level.join(table, "key", "left").select("site", "url", F.col("page_id").isNotNull().alias("success"))
+    return fr.with_result(fr.first_seen(v.found(spark, sf)), v.site_pages(spark, sf)).select("site", "url", "success")
 
 
 @query("similar_pairs", f"""SELECT i.ord, l.ord AS leader_ord FROM items i JOIN (SELECT * FROM grouped WHERE ord = leader_ord) l
@@ -407,13 +405,12 @@ def _(spark, sf):
 
 @query("union_levels", "SELECT site, url, 'crawled' AS kind FROM walked UNION ALL SELECT DISTINCT site, url, 'discovered' FROM found")
 def _(spark, sf):
-    crawled = v.walked(spark, sf).select("site", "url", F.lit("crawled").alias("kind"))
-    return crawled.unionByName(fr.first_seen(v.found(spark, sf)).select("site", "url", F.lit("discovered").alias("kind")))
+    return fr.union_levels(v.walked(spark, sf), fr.first_seen(v.found(spark, sf)))
 
 
 @query("visited_distinct", "SELECT DISTINCT site, url FROM found")
 def _(spark, sf):
-    return v.found(spark, sf).select("site", "url").distinct()
+    return fr.visited(v.found(spark, sf))
 
 
 @query("root_merge", "SELECT domain, href AS url FROM section_folded WHERE section = 'root'")
@@ -788,10 +785,19 @@ def _(spark, sf):
     return spark.read.parquet(out).select("site", "depth", "url", "ts")
 
 
-@query("sink_summary", _SUMMARY.format(crawled="walked", report="report"))
+@query("sink_summary", f"""
+    SELECT s.*, coalesce(c.n, 0) AS n_crawled, coalesce(d.n, 0) AS n_discovered, coalesce(c.n, 0) + coalesce(d.n, 0) AS total_links,
+      coalesce(i.n, 0) AS total_images, coalesce(j.n, 0) AS total_images_joined
+    FROM ({_SUMMARY.format(crawled="walked", report="report")}) s
+    LEFT JOIN (SELECT site, count(*) AS n FROM walked GROUP BY 1) c ON c.site = s.site
+    LEFT JOIN (SELECT site, count(DISTINCT url) AS n FROM found GROUP BY 1) d ON d.site = s.site
+    LEFT JOIN (SELECT site, count(*) AS n FROM walked_images GROUP BY 1) i ON i.site = s.site
+    LEFT JOIN (SELECT site, count(image_url) AS n FROM report GROUP BY 1) j ON j.site = s.site""")
 def _(spark, sf):
     out = scratch.new_path(spark, "sink")
-    sinks.sink_summary(rp.depth_summary(v.walked(spark, sf), v.walked_images(spark, sf)), out)
+    crawled, images = v.walked(spark, sf), v.walked_images(spark, sf)
+    totals = rp.site_summary(crawled, fr.first_seen(v.found(spark, sf)), images)
+    sinks.sink_summary(rp.depth_summary(crawled, images), out, totals=totals)
     return spark.read.parquet(out)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -12,6 +13,9 @@ from pyspark.sql import functions as F
 from pageloom.functions import fixed
 from pageloom.functions.hashes import average_hash, perceptual_hash
 from pageloom.functions.labels import dims_label, extension, has_suffix, size_kb
+from pageloom.operators.dedup import dedup
+from pageloom.operators.ranking import with_row_number
+from pageloom.sources.scratch import materialise
 
 
 def keep_images(files: DataFrame, path: str = "path", suffixes: tuple[str, ...] = fixed.DEDUP_EXTENSIONS) -> DataFrame:
@@ -74,9 +78,11 @@ def _shares(source: int, target: int) -> np.ndarray:
     return np.clip(overlap, 0, None) / (source / target)
 
 
-def shrink(images: DataFrame, sides: tuple[int, ...] = (8, 32)) -> DataFrame:
+def shrink(images: DataFrame, sides: tuple[int, ...] = (8, 32), keep_broken: bool = False) -> DataFrame:
     """Add ``px{side}``: grey values of the image shrunk to ``side`` x ``side``.
 
+    With ``keep_broken`` an image that could not be decoded stays, without values.
+
     The image source gives blue, green, red bytes; the grey value weighs them
     as broadcast luma does.
     """
@@ -86,6 +92,10 @@ def shrink(images: DataFrame, sides: tuple[int, ...] = (8, 32)) -> DataFrame:
             for side in sides:
                 out[f"px{side}"] = []
             for h, w, c, data in zip(frame["height"], frame["width"], frame["channels"], frame["data"]):
+                if w <= 0:
+                    for side in sides:
+                        out[f"px{side}"].append(None)
+                    continue
                 raw = np.frombuffer(data, dtype="uint8").reshape(h, w, c).astype("float64")
                 grey = raw[:, :, 0] if c == 1 else raw[:, :, :3] @ np.array([0.114, 0.587, 0.299])
                 for side in sides:
@@ -94,17 +104,47 @@ def shrink(images: DataFrame, sides: tuple[int, ...] = (8, 32)) -> DataFrame:
             yield pd.DataFrame(out)
 
     schema = "path string, width int, height int" + "".join(f", px{side} array<double>" for side in sides)
-    return skip_broken(images).select("path", "width", "height", "channels", "data").mapInPandas(run, schema)
-
+    rows = images if keep_broken else skip_broken(images)
+    return rows.select("path", "width", "height", "channels", "data").mapInPandas(run, schema)
 
-def image_items(spark: SparkSession, folder: str) -> DataFrame:
-    """Hashed images of a folder, ready for deduplication.
 
-    ``(path, size_bytes, width, height, phash, ahash)``; arrival order is path
-    order, see ``dedup_folder``.
-    """
+def _hashed_files(spark: SparkSession, folder: str) -> DataFrame:
+    """``(path, size_bytes, width, height, phash, ahash)`` of all image files; hashes of broken ones are null."""
     sizes = scan_images(spark, folder).select("path", F.col("length").alias("size_bytes"))
-    small = shrink(decoded(spark, folder))
+    small = shrink(decoded(spark, folder), keep_broken=True)
     hashes = small.select("path", "width", "height",
                           perceptual_hash(F.col("px32"), 32).alias("phash"), average_hash(F.col("px8")).alias("ahash"))
-    return sizes.join(hashes, "path")
+    return sizes.join(hashes, "path", "left")  # the image source passes over empty files
+
+
+def image_items(spark: SparkSession, folder: str) -> DataFrame:
+    """Hashed images of a folder that can be read, in no order; ``dedup_folder`` numbers and groups them."""
+    return skip_broken(_hashed_files(spark, folder))
+
+
+@dataclass(frozen=True)
+class DedupedFolder:
+    """Images to keep and to drop, the report of all groups, and files that could not be read."""
+
+    keep: DataFrame
+    drop: DataFrame
+    groups: DataFrame
+    rejects: DataFrame
+
+
+def dedup_folder(
+    spark: SparkSession, folder: str, t: int = fixed.SIMILARITY_THRESHOLD, quality: str = "size_bytes",
+) -> DedupedFolder:
+    """Group the images of a flat folder and choose the best of each group.
+
+    Every file is decoded once.  Images arrive in the order of their paths
+    (``ord``, from 1).  ``rejects`` has ``(path, size_bytes, reason)``.  No file
+    is touched.
+    """
+    files = materialise(_hashed_files(spark, folder), "image-files")
+    items = with_row_number(skip_broken(files), [], ["path"], "ord")
+    groups = materialise(dedup(items, t, quality), "image-groups")
+    reason = F.when(F.col("size_bytes") == 0, "empty file").otherwise("not a readable image")
+    return DedupedFolder(
+        keep=groups.filter("action = 'Retained'"), drop=groups.filter("action = 'Deleted'"), groups=groups,
+        rejects=broken(files).select("path", "size_bytes", reason.alias("reason")))

@@ -49,8 +49,10 @@ def sink_pages(crawled: DataFrame, path: str, fmt: str = "parquet", partition_by
     rows.write.mode("overwrite").partitionBy(*partition_by).format(fmt).options(**_options(fmt)).save(path)
 
 
-def sink_summary(summary: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Depth and totals rows of every site."""
+def sink_summary(summary: DataFrame, path: str, fmt: str = "parquet", totals: DataFrame | None = None) -> None:
+    """Depth and totals rows of every site, each with the site's ``totals`` where they are given."""
+    if totals is not None:
+        summary = summary.join(totals, "site", "left")
     _placed(summary, ["site", "depth"]).write.mode("overwrite").format(fmt).options(**_options(fmt)).save(path)
 
 

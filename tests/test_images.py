@@ -186,6 +186,25 @@ def test_scaled_copy_is_a_duplicate(spark, folder):
     assert {r.dims for r in got} == {"64x64", "128x128"}
 
 
+def test_folder_in_one_call(spark, folder):
+    (folder / "empty.png").write_bytes(b"")
+    done = im.dedup_folder(spark, str(folder))
+    names = lambda df: sorted(r.path.rsplit("/", 1)[1] for r in df.collect())
+    size = lambda n: (folder / n).stat().st_size
+    best, other = ("b.PNG", "a.png") if size("b.PNG") > size("a.png") else ("a.png", "b.PNG")
+    assert names(done.keep) == sorted([best, "c.png"]) and names(done.drop) == [other]
+    got = [(r.ord, r.group_no, r.path.rsplit("/", 1)[1]) for r in done.groups.orderBy("ord").collect()]
+    assert got == [(1, 1, "a.png"), (2, 1, "b.PNG"), (3, 2, "c.png")]
+    reasons = {r.path.rsplit("/", 1)[1]: r.reason for r in done.rejects.collect()}
+    assert reasons == {"broken.jpg": "not a readable image", "empty.png": "empty file"}
+
+
+def test_folder_without_images(spark, tmp_path):
+    (tmp_path / "notes.txt").write_text("x")
+    done = im.dedup_folder(spark, str(tmp_path))
+    assert [df.count() for df in (done.keep, done.drop, done.groups, done.rejects)] == [0, 0, 0, 0]
+
+
 def test_inference_batches_rejects_and_sinks(spark, tmp_path):
     def model(batch):
         assert len(batch) <= 3
