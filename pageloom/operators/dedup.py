@@ -171,6 +171,8 @@ def _settle(part: DataFrame, crowded: DataFrame | None, t: int) -> tuple[DataFra
 def _hash_leaders(first: DataFrame, t: int, slice_size: int) -> DataFrame:
     """``(n, leader_n)`` for numbered distinct hashes ``first(n, p, a)``."""
     total = first.count()
+    if not total:
+        return first.select("n", F.col("n").alias("leader_n"))
     crowded = _crowded(first, t)
     undecided, settled = first, []
     done = 0

@@ -114,7 +114,7 @@ def _hashed_files(spark: SparkSession, folder: str) -> DataFrame:
     small = shrink(decoded(spark, folder), keep_broken=True)
     hashes = small.select("path", "width", "height",
                           perceptual_hash(F.col("px32"), 32).alias("phash"), average_hash(F.col("px8")).alias("ahash"))
-    return sizes.join(hashes, "path", "left")  # the image source passes over empty files
+    return sizes.join(hashes, "path")
 
 
 def image_items(spark: SparkSession, folder: str) -> DataFrame:
@@ -139,12 +139,12 @@ def dedup_folder(
 
     Every file is decoded once.  Images arrive in the order of their paths
     (``ord``, from 1).  ``rejects`` has ``(path, size_bytes, reason)``.  No file
-    is touched.
+    is touched.  Files of no bytes are in none of the tables: Spark's readers
+    pass over them.
     """
     files = materialise(_hashed_files(spark, folder), "image-files")
     items = with_row_number(skip_broken(files), [], ["path"], "ord")
     groups = materialise(dedup(items, t, quality), "image-groups")
-    reason = F.when(F.col("size_bytes") == 0, "empty file").otherwise("not a readable image")
     return DedupedFolder(
         keep=groups.filter("action = 'Retained'"), drop=groups.filter("action = 'Deleted'"), groups=groups,
-        rejects=broken(files).select("path", "size_bytes", reason.alias("reason")))
+        rejects=broken(files).select("path", "size_bytes", F.lit("not a readable image").alias("reason")))
