@@ -2,12 +2,11 @@
 
 A text is the set of its five-word shingles (fewer words: the whole sequence is
 one shingle; no words: no shingle, and such a document is linked to nothing).
-Two different texts are linked when the Jaccard similarity of their sets is at
-least ``threshold``; a class is a connected component of links, with equal texts
-in one class.  ``n_links`` counts a text's verified links to different texts:
-the search verifies what it needs to be sure of every class, not each pair
-inside one, so a class of many near copies costs about one link for each copy,
-yet a text with any link has at least one.
+A null text equals an empty one.  Two different texts are linked when the Jaccard
+similarity of their sets is at least ``threshold``, read to six decimals; a class
+is a connected component of links, with equal texts in one class.  ``n_links`` is
+the number of different texts of its class that a text is linked to, every one
+of them counted.
 
 **Forest.**  A signature of ``TREES * DEPTH`` minima gives each tree a label of
 ``DEPTH`` minima; a trie node is a prefix of a label.  Prefixes start at full
@@ -34,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pageloom.llm import words as W
@@ -44,6 +43,15 @@ from pageloom.sources import scratch
 TREES, DEPTH, STEP = 20, 6, 2
 THRESHOLD, RECALL = 0.8, 0.9999
 
+# A threshold is a number of millionths, so that slacks are whole numbers.
+_UNIT = 1_000_000
+# A component is dealt over this many parts, each with its own copy of the reference.
+PARTS = 1024
+# Holders of one shingle that a task takes at a time.
+HOLDERS = 512
+# Differences up to this long travel with their shingles; longer ones are joined later.
+SHORT = 256
+
 _FACTORS = np.random.default_rng(4).integers(1, 2**63, TREES * DEPTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _PLACES = np.random.default_rng(44).integers(1, 2**63, DEPTH, dtype=np.uint64) | np.uint64(1)
 _TREE_SEEDS = np.random.default_rng(444).integers(1, 2**63, TREES, dtype=np.uint64)
@@ -118,22 +126,97 @@ def _sets(keyed: DataFrame) -> DataFrame:
     return keyed.select("id", "text").mapInArrow(run, "id long, shingles array<long>")
 
 
+def _salted(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """``pairs (a, b)`` with the sets of b, where one b may be in a third of all pairs."""
+    part = F.pmod(F.xxhash64("a"), F.lit(PARTS))
+    pairs = pairs.withColumn("part", part)
+    copies = pairs.select("b", "part").distinct().join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb")), "b")
+    return pairs.join(copies, ["b", "part"]).drop("part")
+
+
 def _verify(pairs: DataFrame, sets: DataFrame, threshold: float, label: str, extras: bool = False) -> DataFrame:
     """Sizes, overlap and link of the pairs ``(a, b)``; with ``extras``, what a holds beyond b."""
-    left, right = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
-    out = pairs.join(left, "a").join(right, "b").select(
+    left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
+    out = _salted(pairs, sets).join(left, "a").select(
         "a", "b", F.size("sa").alias("na"), F.size("sb").alias("nb"), F.size(F.array_intersect("sa", "sb")).alias("shared"),
         *([F.array_except("sa", "sb").alias("extra")] if extras else []),
     )
-    return scratch.materialise(out.withColumn("linked", F.expr(f"shared >= {threshold}D * (na + nb - shared)")), label)
+    return scratch.materialise(out.withColumn("linked", F.expr(f"shared * {_UNIT}L >= {round(threshold * _UNIT)}L * (na + nb - shared)")), label)
 
 
 def _pivots(items: DataFrame, node: str) -> DataFrame:
     return items.groupBy(node).agg(F.max(F.struct("central", "id")).getField("id").alias("pivot"))
 
 
-def links(texts: DataFrame, keyed: DataFrame, lengths: list[int], threshold: float) -> tuple[DataFrame, DataFrame]:
-    """Verified links ``(a, b)`` between the ids of different texts, and ``(id, comp)`` of the texts that share a node."""
+def _apart(x: str, y: str):
+    """What one set holds and the other does not."""
+    return F.concat(F.array_except(x, y), F.array_except(y, x))
+
+
+def _slacks(labels: DataFrame, wanted: DataFrame, sets: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """``(comp, id, slack)`` of the texts of components of two or more, and ``(comp, id, slack, d)`` of those whose
+    difference has shingles ``(f, e)`` that f >= 2 differences hold, rarest first."""
+    member = labels.join(wanted, "id").withColumn("part", F.pmod(F.xxhash64("id"), F.lit(PARTS)))
+    # Parts come first: a component that holds a third of all texts is never one group of rows.
+    part = scratch.materialise(member.groupBy("comp", "part").agg(F.count("*").alias("size"), F.max(F.struct("central", "id")).alias("best")), "parts")
+    comp = part.groupBy("comp").agg(F.sum("size").alias("size"), F.max("best").getField("id").alias("pivot")).filter("size > 1")
+    pivot = comp.join(sets.select(F.col("id").alias("pivot"), F.col("shingles").alias("ref")), "pivot")
+    ref = part.select("comp", "part").join(pivot, "comp")
+    item = member.join(ref, ["comp", "part"]).join(sets, "id").select("comp", "part", "id", F.col("size").alias("of"), F.size("shingles").alias("n"), _apart("shingles", "ref").alias("d"))
+    item = scratch.materialise(item, "differences")
+    # From the pivot to the majority: shingles in which most differ from the pivot change sides.
+    held = item.select("comp", "of", F.explode("d").alias("e")).groupBy("comp", "of", "e").agg(F.count("*").alias("k"))
+    held = scratch.materialise(held.filter("k > 1"), "holders")
+    turned = held.filter("2 * k > of").groupBy("comp").agg(F.collect_list("e").alias("turned"))
+    turned = part.select("comp", "part").join(turned, "comp")
+    item = item.join(turned, ["comp", "part"], "left").withColumn("d", F.when(F.col("turned").isNull(), F.col("d")).otherwise(_apart("d", "turned")))
+    t = round(threshold * _UNIT)
+    item = item.select("comp", "id", F.expr(f"{_UNIT - t}L * n - {_UNIT + t}L * size(d)").alias("slack"), "d")
+    item = scratch.materialise(item, "slacks")
+    often = held.select("comp", "e", F.expr("if(2 * k > of, of - k, k)").alias("f")).filter("f > 1")
+    d = item.select("comp", "id", "slack", F.explode("d").alias("e")).join(often, ["comp", "e"])
+    d = d.groupBy("comp", "id", "slack").agg(F.array_sort(F.collect_list(F.struct("f", "e"))).alias("d"))
+    return item.drop("d"), scratch.materialise(d, "shared-differences")
+
+
+def count_links(labels: DataFrame, wanted: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """``(id, n_links)``: the linked texts of every text that has one in its component."""
+    item, d = _slacks(labels, wanted, sets, threshold)
+    # By rank: of a component's slacks, how many reach what a slack lacks.
+    counts = item.groupBy("comp", "slack").agg(F.count("*").alias("k"))
+    marks = counts.select("comp", F.col("slack").alias("v"), "k", F.lit(None).cast("long").alias("slack"))
+    marks = marks.unionAll(counts.select("comp", -F.col("slack"), F.lit(0).cast("long"), "slack"))
+    ranked = marks.withColumn("reach", F.sum("k").over(Window.partitionBy("comp").orderBy(F.desc("v")))).filter("slack is not null")
+    plain = item.join(ranked.select("comp", "slack", "reach"), ["comp", "slack"]).select("id", F.expr("reach - if(slack >= 0, 1, 0)").alias("n"))
+
+    # By shared differences: only pairs whose slacks do not suffice, and only where enough shingles are left.
+    unit = 2 * (_UNIT + round(threshold * _UNIT))
+    short = F.when(F.size("d") <= SHORT, F.col("d.e"))
+    end = d.select("comp", "id", "slack", F.size("d").alias("long"), short.alias("d"), F.posexplode("d").alias("pos", "s"))
+    end = end.select("comp", "id", "slack", (F.col("long") - F.col("pos")).alias("left"), "d", F.col("s.e").alias("e"), F.ceil(F.col("s.f") / HOLDERS).alias("salts"))
+    names = ("id", "slack", "left", "d")
+    x = end.select("comp", "e", F.expr("pmod(id, salts)").alias("salt"), *[F.col(c).alias(f"{c}_x") for c in names])
+    y = end.select("comp", "e", F.explode(F.expr("sequence(0L, salts - 1)")).alias("salt"), *[F.col(c).alias(f"{c}_y") for c in names])
+
+    def meet(x: DataFrame, y: DataFrame) -> DataFrame:
+        lack = "-(slack_x + slack_y)"
+        return x.join(y, ["comp", "e", "salt"]).filter(f"id_x < id_y and {lack} > 0 and left_x * {unit}L >= {lack} and left_y * {unit}L >= {lack}")
+
+    both = F.array_intersect("d_x", "d_y")
+    # A pair meets on several shingles; it counts on the first.
+    near = meet(x.filter("d_x is not null"), y.filter("d_y is not null")).filter(
+        (both[0] == F.col("e")) & (F.size(both) * F.lit(unit) + F.col("slack_x") + F.col("slack_y") >= 0)).select("id_x", "id_y")
+    far = meet(x.filter("d_x is null"), y).unionAll(meet(x.filter("d_x is not null"), y.filter("d_y is null")))
+    far = far.select("id_x", "id_y", "slack_x", "slack_y").distinct()
+    for c in "xy":
+        far = far.join(d.select(F.col("id").alias(f"id_{c}"), F.col("d.e").alias(f"all_{c}")), f"id_{c}")
+    far = far.filter(F.size(F.array_intersect("all_x", "all_y")) * F.lit(unit) + F.col("slack_x") + F.col("slack_y") >= 0).select("id_x", "id_y")
+    more = near.unionAll(far).select(F.explode(F.array("id_x", "id_y")).alias("id")).groupBy("id").agg(F.count("*").alias("n"))
+    return plain.unionAll(more).groupBy("id").agg(F.sum("n").alias("n_links")).filter("n_links > 0")
+
+
+def search(texts: DataFrame, keyed: DataFrame, lengths: list[int], threshold: float) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``(id, comp)`` of the texts that share a node, how ``central`` each is, and their sets."""
     last = f"node_{len(lengths) - 1}"
     names = [f"nodes_{k}" for k in range(len(lengths))]
     node = texts.select("id", F.explode(F.arrays_zip(*names)).alias("n")).select("id", *[F.col(f"n.nodes_{k}").alias(f"node_{k}") for k in range(len(lengths))])
@@ -145,10 +228,10 @@ def links(texts: DataFrame, keyed: DataFrame, lengths: list[int], threshold: flo
     chosen = keyed.join(want, (keyed.key == want.key) & keyed.doc_id.eqNullSafe(want.first_id)).select("id", "text")
     sets = scratch.materialise(_sets(chosen).dropDuplicates(["id"]), "sets")
 
-    tested, edges, labels = None, None, wanted.select("id", F.col("id").alias("comp"))
+    tested, labels = None, wanted.select("id", F.col("id").alias("comp"))
 
     def test(pairs: DataFrame, label: str, extras: bool = False) -> DataFrame:
-        nonlocal tested, edges, labels
+        nonlocal tested, labels
         pairs = pairs.filter("a <> b").distinct()
         if tested is not None:
             done = tested.unionAll(tested.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -156,7 +239,6 @@ def links(texts: DataFrame, keyed: DataFrame, lengths: list[int], threshold: flo
         found = _verify(pairs, sets, threshold, label, extras)
         tested = found.select("a", "b") if tested is None else tested.unionAll(found.select("a", "b"))
         linked = found.filter("linked").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        edges = linked if edges is None else edges.unionAll(linked)
         if linked.isEmpty():
             return found
         # Only components that new links join are relabelled.
@@ -215,37 +297,47 @@ def links(texts: DataFrame, keyed: DataFrame, lengths: list[int], threshold: flo
     near = reach.join(rel.select("p", "x", "comp", "n", "missing"), ["p", "n", "missing"]).join(rel_y.select("p", "y", "comp_y", "ny", "missing_y"), ["p", "ny", "missing_y"])
     near = near.filter("comp < comp_y").select(F.col("x").alias("a"), F.col("y").alias("b"))
     test(share.unionAll(near), "rest")
-    return edges.distinct(), labels
+    return labels, wanted, sets
 
 
-def join(docs: DataFrame, threshold: float = THRESHOLD, target: float = RECALL) -> DataFrame:
-    """``(doc_id, key, class_id, n_copies, n_links)``, one row for each row of ``docs``.
-
-    ``key`` is the MD5 of the text, ``class_id`` the least ``doc_id`` of the class
-    (null ids aside), ``n_copies`` the rows with an equal text.  A document
-    without words is its own class.
-    """
+def _known(docs: DataFrame, threshold: float, target: float) -> tuple[DataFrame, DataFrame, tuple]:
+    """Signed documents, ``(id, key, comp, class_id, n_copies)`` of the different texts with words, and what counting links needs."""
     lengths = depths(threshold, target)
     signed = scratch.materialise(sign(docs, lengths), "signed")
     names = [f"nodes_{k}" for k in range(len(lengths))]
     texts = signed.filter("n > 0").groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n_copies"), *[F.first(c).alias(c) for c in names])
     texts = scratch.materialise(texts.select(F.monotonically_increasing_id().alias("id"), "*"), "texts")
-    found, labels = links(texts, _keyed(docs), lengths, threshold)
-    ends = found.select(F.col("a").alias("id")).unionAll(found.select(F.col("b").alias("id"))).groupBy("id").agg(F.count("*").alias("n_links"))
-    labels = labels.join(ends, "id", "left")
+    labels, wanted, sets = search(texts, _keyed(docs), lengths, threshold)
     known = texts.select("id", "key", "doc_id", "n_copies").join(labels, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-    least = known.filter("n_links is not null").groupBy("comp").agg(F.min("doc_id").alias("class_id"))
-    known = known.join(least, "comp", "left").select("key", F.coalesce("class_id", "doc_id").alias("class_id"), "n_copies", F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    known = scratch.materialise(known, "known")
+    least = known.groupBy("comp").agg(F.min("doc_id").alias("class_id"))
+    known = scratch.materialise(known.join(least, "comp").select("id", "key", F.coalesce("class_id", "doc_id").alias("class_id"), "n_copies"), "known")
+    return signed, known, (labels, wanted, sets, threshold)
+
+
+def _rows(signed: DataFrame, known: DataFrame) -> DataFrame:
+    """Every document with what is known of its text; one without words is its own class."""
     return signed.select("doc_id", "key").join(known, "key", "left").select(
         "doc_id", "key", F.when(F.col("n_copies").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
-        F.coalesce("n_copies", F.lit(1)).alias("n_copies"), F.coalesce("n_links", F.lit(0)).alias("n_links"),
+        *[F.coalesce(c, F.lit(n).cast("long")).alias(c) for c, n in (("n_copies", 1), ("n_links", 0)) if c in known.columns],
     )
 
 
+def join(docs: DataFrame, threshold: float = THRESHOLD, target: float = RECALL) -> DataFrame:
+    """``(doc_id, key, class_id, n_copies, n_links)``, one row for each row of ``docs``.
+
+    ``key`` is the MD5 of the text, ``class_id`` the least ``doc_id`` of the class
+    (null ids aside), ``n_copies`` the rows with an equal text.  A document
+    without words is its own class.  No rows give none; other columns are not read.
+    """
+    signed, known, found = _known(docs, threshold, target)
+    known = known.join(count_links(*found), "id", "left").drop("id")
+    return _rows(signed, scratch.materialise(known, "linked"))
+
+
 def keep_first(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One document of each class: that with the least id; documents without words all stay."""
-    classes = join(docs, threshold)
+    signed, known, _ = _known(docs, threshold, RECALL)
+    classes = _rows(signed, known.drop("id"))
     keep = classes.filter("doc_id <=> class_id").groupBy("doc_id", "key").agg(F.max("n_copies").alias("n_copies"), F.count("*").alias("n"))
     columns = docs.columns
     row = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("i"), F.md5(F.coalesce("text", F.lit(""))).alias("k"), F.length(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", "")).alias("c"))

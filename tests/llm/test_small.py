@@ -1,6 +1,7 @@
 """Operators on small fixtures against brute force, with nulls, ties, empty tables and clashing columns."""
 
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -182,6 +183,43 @@ def test_jaccard_classes(spark, family):
     assert got[0].n_copies == 2 and got[203].n_copies == 1
 
 
+def _all_links(texts, threshold=0.8):
+    """Links of every text to different texts by comparing all pairs."""
+    sets = {t: brute.shingles(t) for t in set(texts.values()) if brute.shingles(t)}
+    out = dict.fromkeys(sets, 0)
+    for a, b in itertools.combinations(sets, 2):
+        both = len(sets[a] & sets[b])
+        if both >= threshold * (len(sets[a]) + len(sets[b]) - both):
+            out[a] += 1
+            out[b] += 1
+    return {i: out.get(t, 0) for i, t in texts.items()}
+
+
+def _edited(rng, base, most, vocabulary):
+    w = list(base)
+    for _ in range(rng.randrange(most + 1)):
+        w[rng.randrange(len(w))] = f"edit{rng.randrange(vocabulary)}"
+    return " ".join(w)
+
+
+@pytest.mark.parametrize("short", [jaccard_join.SHORT, 5])
+def test_jaccard_counts_every_link(spark, family, monkeypatch, short):
+    """Also within a family of many, one with a subfamily, one without its base, a chain, and with all differences long."""
+    monkeypatch.setattr(jaccard_join, "SHORT", short)
+    monkeypatch.setattr(jaccard_join, "HOLDERS", 8)
+    rng = random.Random(11)
+    texts = dict(family)
+    base, other = prose(rng, 200).split(), prose(rng, 90).split()
+    sub = base[:60] + [f"sub{i}" for i in range(12)] + base[72:]
+    chain = prose(rng, 100).split()
+    many = [_edited(rng, base, 6, 3) for _ in range(250)] + [_edited(rng, sub, 4, 10**6) for _ in range(60)]
+    many += [_edited(rng, [*other[:40], f"own{i % 3}", *other[41:]], 3, 2) for i in range(80)]
+    many += [" ".join(chain[k : k + 60]) for k in range(0, 40, 3)]
+    texts |= {1000 + i: t for i, t in enumerate(many)}
+    got = {r.doc_id: r.n_links for r in jaccard_join.join(texts_of(spark, texts.items())).collect()}
+    assert got == _all_links(texts)
+
+
 def test_jaccard_keeps_one(spark, family, odd):
     df = texts_of(spark, family + family[:3])
     kept = [r.doc_id for r in jaccard_join.keep_first(df).collect()]
