@@ -226,7 +226,8 @@ def search(texts: DataFrame, keyed: DataFrame, lengths: list[int], threshold: fl
     held = held.drop("count").join(wanted, "id")
     want = texts.join(wanted, "id", "left_semi").select("id", "key", F.col("doc_id").alias("first_id"))
     chosen = keyed.join(want, (keyed.key == want.key) & keyed.doc_id.eqNullSafe(want.first_id)).select("id", "text")
-    sets = scratch.materialise(_sets(chosen).dropDuplicates(["id"]), "sets")
+    # Kept by id, so that no join with them moves them again.
+    sets = scratch.materialise_bucketed(_sets(chosen).dropDuplicates(["id"]), ["id"], "sets")
 
     tested, labels = None, wanted.select("id", F.col("id").alias("comp"))
 
