@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
@@ -14,38 +15,71 @@ from pageloom.functions import fixed
 PredictFn = Callable[[Sequence], Sequence[Sequence[Sequence[float]]]]
 
 
-def embed_images(images: DataFrame, predict_fn: PredictFn, batch_size: int = fixed.INFERENCE_BATCH,
-                 path: str = "image_path", content: str = "content") -> DataFrame:
+# The model this Python worker holds, by the call that asked for it.
+_LOADED: dict[str, PredictFn] = {}
+
+
+def _loaded(key: str, load_model: Callable[[], PredictFn]) -> PredictFn:
+    """The model of ``key``, loaded once per worker process; another call's model goes first."""
+    if key not in _LOADED:
+        _LOADED.clear()
+        _LOADED[key] = load_model()
+    return _LOADED[key]
+
+
+def _batches(frames: Iterator[pd.DataFrame], path: str, content: str, size: int) -> Iterator[tuple[list, list]]:
+    """Paths and images, ``size`` at a time across the borders of frames; the last batch of a task may be smaller."""
+    paths, values = [], []
+    for frame in frames:
+        for name, value in zip(frame[path], frame[content], strict=True):
+            paths.append(name)
+            values.append(value)
+            if len(values) == size:
+                yield paths, values
+                paths, values = [], []
+    if values:
+        yield paths, values
+
+
+def embed_images(images: DataFrame, predict_fn: PredictFn | None = None, batch_size: int = fixed.INFERENCE_BATCH,
+                 path: str = "image_path", content: str = "content", *,
+                 load_model: Callable[[], PredictFn] | None = None) -> DataFrame:
     """``(image_path, faces, error)``: vectors of every image.
 
     The function is called with ``batch_size`` images at a time.  When a batch
     fails its images are tried one by one; an image that fails alone keeps its
-    message in ``error`` and has no vectors.
+    message in ``error`` and has no vectors.  A model that is dear to load comes
+    as ``load_model`` instead, a function without arguments that returns the
+    function to call: each Python worker loads it once and keeps it for its
+    later tasks.  A model that cannot be loaded fails the job.
     """
     if batch_size < 1:
         raise ValueError("batch size must be positive")
+    if (predict_fn is None) == (load_model is None):
+        raise ValueError("give either predict_fn or load_model")
+    key = uuid.uuid4().hex
 
-    def predict(values: list) -> list[tuple[list | None, str | None]]:
+    def predict(model: PredictFn, values: list) -> list[tuple[list | None, str | None]]:
         try:
-            found = list(predict_fn(values))
+            found = list(model(values))
             if len(found) != len(values):
                 raise ValueError(f"{len(found)} results for {len(values)} images")
             return [([list(map(float, v)) for v in faces], None) for faces in found]
         except Exception as e:
             if len(values) == 1:
                 return [(None, f"{type(e).__name__}: {e}")]
-            return [predict([v])[0] for v in values]
+            return [predict(model, [v])[0] for v in values]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for start in range(0, len(frame), batch_size):
-                batch = frame.iloc[start:start + batch_size]
-                done = predict(list(batch[content]))
-                yield pd.DataFrame({
-                    "image_path": list(batch[path]),
-                    "faces": [faces for faces, _ in done],
-                    "error": [error for _, error in done],
-                })
+        model = None
+        for paths, values in _batches(frames, path, content, batch_size):
+            model = model or predict_fn or _loaded(key, load_model)
+            done = predict(model, values)
+            yield pd.DataFrame({
+                "image_path": paths,
+                "faces": [faces for faces, _ in done],
+                "error": [error for _, error in done],
+            })
 
     return images.select(path, content).mapInPandas(run, "image_path string, faces array<array<float>>, error string")
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pageloom.functions import fixed
 from pageloom.functions.urls import with_normalized_url
 from pageloom.operators.domains import exclude_social, keep_same_domain
-from pageloom.operators.links import absolute_images, extract_images, extract_links, filter_image_src, normalized_links
+from pageloom.operators.links import absolute_images, extract_images, extract_links, extract_tags, filter_image_src, normalized_links, split_tags
 from pageloom.operators.ranking import with_row_number
 from pageloom.sources.scratch import materialise, materialise_bucketed
 
@@ -27,11 +27,13 @@ class Snapshot:
 
     ``pages`` is ``(key, page_id, ts, last_block)``, one page per address, kept
     by ``key``; ``edges`` is ``(page_id, block, pos, link)`` kept by
-    ``(page_id, block)``.
+    ``(page_id, block)``; ``media`` is ``(page_id, pos, src)`` where images were
+    asked for.
     """
 
     pages: DataFrame
     edges: DataFrame
+    media: DataFrame | None = None
 
 
 @dataclass(frozen=True)
@@ -53,17 +55,23 @@ def page_key(df: DataFrame, url: str, out: str) -> DataFrame:
     return with_normalized_url(df, url, url, out).withColumn(out, F.coalesce(out, url))
 
 
-def build_snapshot(pages: DataFrame, links: DataFrame | None = None, *, suffixes=None, social=None, same_site: bool = True, **options) -> Snapshot:
+def build_snapshot(pages: DataFrame, links: DataFrame | None = None, *, suffixes=None, social=None, same_site: bool = True,
+                   images: bool = False, **options) -> Snapshot:
     """Normalise pages and links once, before the walk.
 
     ``pages`` is ``(page_id, url, html)`` with an optional ``ts``.  ``links``
     ``(page_id, pos, href)`` replaces extraction from ``html``.  Links that leave
     the site go: another main domain with ``suffixes``, another host without;
-    ``same_site=False`` keeps them.
+    ``same_site=False`` keeps them.  ``images`` keeps the images of every page
+    too: ``html`` is read once for both, and what it holds is stored.
     """
     if "ts" not in pages.columns:
         pages = pages.withColumn("ts", F.lit(None).cast("timestamp"))
-    if links is None:
+    media = extract_images(pages, ["page_id"]).select("page_id", "pos", "src") if images and links is not None else None
+    if links is None and images:
+        found, media = split_tags(materialise(extract_tags(pages), "tags"))
+        media = media.select("page_id", "pos", "src")
+    elif links is None:
         found = extract_links(pages)
     else:
         found = links.join(pages.select("page_id", F.col("url").alias("page_url")), "page_id")
@@ -83,7 +91,7 @@ def build_snapshot(pages: DataFrame, links: DataFrame | None = None, *, suffixes
         .groupBy("key").agg(F.min("page_id").alias("page_id"), F.min_by("ts", "page_id").alias("ts"))
     )
     table = materialise_bucketed(one_each.join(blocks, "page_id", "left"), ["key"], "pages")
-    return Snapshot(table, edges)
+    return Snapshot(table, edges, media)
 
 
 def level_limits(limits, max_depth: int) -> list[int | None]:
@@ -240,12 +248,17 @@ def level_stats(frontier: DataFrame, limits: DataFrame, size: int = fixed.BATCH_
         F.ceil(taken / size).cast("long").alias("n_batches"))
 
 
-def harvest_images(crawled: DataFrame, pages: DataFrame, media: DataFrame | None = None) -> DataFrame:
+def harvest_images(crawled: DataFrame, pages: DataFrame | Snapshot, media: DataFrame | None = None) -> DataFrame:
     """Images of every crawled page, absolute against the requested address.
 
-    ``media(page_id, pos, src)`` replaces extraction from ``html``.  A page
-    walked twice gives its images twice.
+    ``media(page_id, pos, src)`` replaces extraction from ``html``, as does a
+    snapshot built with ``images=True``.  A page walked twice gives its images
+    twice.
     """
+    if isinstance(pages, Snapshot):
+        media = pages.media if media is None else media
+        if media is None:
+            raise ValueError("the snapshot holds no images: build it with images=True")
     if media is None:
         media = extract_images(pages, ["page_id"])
     media = filter_image_src(media.select("page_id", "pos", "src"))

@@ -14,20 +14,15 @@ def join_pages_images(crawled: DataFrame, images: DataFrame) -> DataFrame:
     """Each crawled page with each of its images; pages without any give one row.
 
     Images are matched by page address alone, so a page walked at two depths
-    shows all of them at both.  The outer join is written as inner join plus
-    anti-join: an inner join may split a hot page on either side.
+    shows all of them at both.  A key holds one page's images, so one left join
+    does: images are read once, and a page walked by many is split on its side.
     """
     page = crawled.select("site", "depth", "trail", F.col("url").alias("page_url"), F.col("ts").alias("page_ts"))
     image = images.select(
         "site", "page_url", "image_url", F.col("ts").alias("image_ts"),
         F.col("depth").alias("image_depth"), F.col("trail").alias("image_trail"), "pos")
-    keys = ["site", "page_url"]
-    matched = page.join(image, keys).withColumn("ts", F.coalesce("image_ts", "page_ts"))
-    bare = page.join(image.select(*keys).distinct(), keys, "left_anti").select(
-        "*", *[F.lit(None).cast(image.schema[c].dataType).alias(c) for c in ("image_url", "image_depth", "image_trail", "pos")],
-        F.col("page_ts").alias("ts"))
-    cols = ["site", "depth", "page_url", "image_url", "ts", *REPORT_ORDER]
-    return matched.select(*cols).unionByName(bare.select(*cols))
+    joined = page.join(image, ["site", "page_url"], "left").withColumn("ts", F.coalesce("image_ts", "page_ts"))
+    return joined.select("site", "depth", "page_url", "image_url", "ts", *REPORT_ORDER)
 
 
 def images_per_page(images: DataFrame) -> DataFrame:

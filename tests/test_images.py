@@ -1,5 +1,7 @@
+import os
 import random
 import struct
+import uuid
 import zlib
 
 import pytest
@@ -225,3 +227,35 @@ def test_inference_batches_rejects_and_sinks(spark, tmp_path):
     assert not sinks.sink_embeddings(faces.limit(0), str(tmp_path / "none")) and not (tmp_path / "none").exists()
     with pytest.raises(ValueError):
         em.embed_images(df, model, 0)
+    with pytest.raises(ValueError):
+        em.embed_images(df)
+    with pytest.raises(ValueError):
+        em.embed_images(df, model, load_model=lambda: model)
+
+
+def test_model_is_loaded_once_per_worker(spark, tmp_path):
+    """Several tasks and frames: one load for each worker process, whole batches across frames, whole vectors."""
+    folder = str(tmp_path)
+
+    def load():
+        with open(f"{folder}/load-{os.getpid()}-{uuid.uuid4().hex}", "w"):
+            pass
+
+        def model(batch):
+            with open(f"{folder}/batch-{len(batch)}-{uuid.uuid4().hex}", "w"):
+                pass
+            return [[[float(x), float(x) / 4, -1.0]] for x in batch]
+
+        return model
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
+    try:
+        df = spark.range(0, 60, 1, 3).selectExpr("cast(id as string) as image_path", "id as content")
+        got = rows(em.embed_images(df, batch_size=10, load_model=load))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == sorted((str(k), [[float(k), k / 4, -1.0]], None) for k in range(60))
+    made = [n.split("-") for n in os.listdir(folder)]
+    loads = [n[1] for n in made if n[0] == "load"]
+    assert loads and len(loads) == len(set(loads))
+    assert [n[1] for n in made if n[0] == "batch"] == ["10"] * 6

@@ -121,6 +121,35 @@ def test_pages_with_many_links_span_blocks(spark, monkeypatch):
     assert [r.url for r in fr.with_ord(crawl.discovered).orderBy("ord").collect()] == [f"https://s.test/p{i}" for i in range(10)]
 
 
+def test_walk_and_images_read_html_once(spark, tmp_path):
+    """A snapshot with images gives the same walk and images, and neither reads the pages' html again."""
+    html = ['<a href="/b"><img src="/1.png"><img src=""><a href="/c">', '<IMG src="2.png"><!-- <img src="no"> -->', "", None]
+    data = [(i, f"https://s.test{p}", h) for i, (p, h) in enumerate(zip(["", "/b", "/c", "/d"], html, strict=True))]
+    spark.createDataFrame(data, "page_id long, url string, html string").write.parquet(str(tmp_path / "pages"))
+    pages = spark.read.parquet(str(tmp_path / "pages"))
+    seeds = spark.createDataFrame([(0, "https://s.test")], "ord long, domain string")
+    snapshot = fr.build_snapshot(pages, images=True)
+    crawl, plain = fr.crawl_frontier(seeds, snapshot, max_depth=1), fr.crawl_frontier(seeds, pages, max_depth=1)
+    images = fr.harvest_images(crawl.crawled, snapshot)
+    want = fr.harvest_images(plain.crawled, pages)
+    assert rows(crawl.discovered.select("url", "depth")) == rows(plain.discovered.select("url", "depth"))
+    assert rows(images.select("page_url", "image_url", "pos")) == rows(want.select("page_url", "image_url", "pos"))
+    assert images.count() == 2
+    plan = rp.join_pages_images(crawl.crawled, images)._jdf.queryExecution().optimizedPlan().toString()
+    assert "html" not in plan and "html" in want._jdf.queryExecution().optimizedPlan().toString()
+    with pytest.raises(ValueError):
+        fr.harvest_images(crawl.crawled, fr.build_snapshot(pages))
+
+
+def test_report_is_one_join(spark):
+    crawled = _crawled(spark)
+    images = crawled.selectExpr("site", "url as page_url", "'i' as image_url", "ts", "depth", "trail", "0 as pos").filter("page_url <> 'c'")
+    report = rp.join_pages_images(crawled, images)
+    plan = report._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 1 and "LeftOuter" in plan
+    assert rows(report.filter("image_url is null").select("page_url", "depth", F.col("ts").isNotNull())) == [("c", 1, True)]
+
+
 def _crawled(spark):
     data = [("s", "a", 0, [0], 1), ("s", "a", 1, [0, 0], 1), ("s", "b", 1, [0, 1], 2), ("s", "c", 1, [0, 2], 3)]
     return spark.createDataFrame(data, "site string, url string, depth int, trail array<int>, page_id long").withColumn(
