@@ -58,7 +58,7 @@ def full_chain(spark: SparkSession, sf: str) -> DataFrame:
     manifest = download_manifest(join_pages_images(crawl.crawled, images))
     kept = dedup(v.hashed_items(spark, sf)).filter("action = 'Retained'")
     stored = v.img_items(spark, sf).select("ord", F.col("px").alias("content"))
-    chosen = stored.join(kept.select("ord"), "ord").select(F.col("ord").cast("string").alias("image_path"), "content")
+    chosen = stored.join(kept.select("ord").hint("merge"), "ord").select(F.col("ord").cast("string").alias("image_path"), "content")
     vectors = embedding_json(explode_faces(embed_images(chosen, halves, 32)))
     count = lambda df, step: df.agg(F.lit(step).alias("step"), F.count("*").alias("n"))
     return (
