@@ -74,7 +74,8 @@ def build_snapshot(pages: DataFrame, links: DataFrame | None = None, *, suffixes
     elif links is None:
         found = extract_links(pages)
     else:
-        found = links.join(pages.select("page_id", F.col("url").alias("page_url")), "page_id")
+        # merge hints: a table that grows with the pages is never gathered in the driver, however small its files are
+        found = links.join(pages.select("page_id", F.col("url").alias("page_url")).hint("merge"), "page_id")
     edges = normalized_links(found, **options)
     if same_site:
         edges = keep_same_domain(edges, "url", "page_url", () if suffixes is None else suffixes)
@@ -90,7 +91,7 @@ def build_snapshot(pages: DataFrame, links: DataFrame | None = None, *, suffixes
         page_key(pages.select("page_id", "url", "ts"), "url", "key")
         .groupBy("key").agg(F.min("page_id").alias("page_id"), F.min_by("ts", "page_id").alias("ts"))
     )
-    table = materialise_bucketed(one_each.join(blocks, "page_id", "left"), ["key"], "pages")
+    table = materialise_bucketed(one_each.join(blocks.hint("merge"), "page_id", "left"), ["key"], "pages")
     return Snapshot(table, edges, media)
 
 
