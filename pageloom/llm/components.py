@@ -15,7 +15,9 @@ def components(edges: DataFrame) -> DataFrame:
     label of that label, so stars settle in two steps and chains in about the
     logarithm of their length.  Every step is a table in the shared folder.
     """
-    both = scratch.materialise(edges.select("a", "b").unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
+    # Both directions of a row at once: a union would compute the edges twice.
+    ends = edges.select(F.expr("inline(array(struct(a, b), struct(b as a, a as b)))"))
+    both = scratch.materialise(ends.distinct(), "edges")
     labels = scratch.materialise(both.groupBy("a").agg(F.least("a", F.min("b")).alias("comp")).withColumnRenamed("a", "id"), "labels")
     while True:
         near = both.join(labels.select(F.col("id").alias("b"), F.col("comp").alias("near")), "b").groupBy("a").agg(F.min("near").alias("near"))

@@ -51,6 +51,8 @@ PARTS = 1024
 HOLDERS = 512
 # Differences up to this long travel with their shingles; longer ones are joined later.
 SHORT = 256
+# Bits of the filter before the texts' join: 4 MB for any input.
+SPOTS = 1 << 25
 
 _FACTORS = np.random.default_rng(4).integers(1, 2**63, TREES * DEPTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _PLACES = np.random.default_rng(44).integers(1, 2**63, DEPTH, dtype=np.uint64) | np.uint64(1)
@@ -126,6 +128,23 @@ def _sets(keyed: DataFrame) -> DataFrame:
     return keyed.select("id", "text").mapInArrow(run, "id long, shingles array<long>")
 
 
+def _likely(keyed: DataFrame, want: DataFrame) -> DataFrame:
+    """Rows of ``keyed`` that can be in ``want (key, first_id)``, by a bitmap of fixed size.
+
+    No wanted row goes; of the others a share of at most ``rows of want / SPOTS``
+    stays, which the exact join drops.  So texts that share no node are not moved.
+    """
+    def spot(*names: str):
+        return F.pmod(F.xxhash64(*names), F.lit(SPOTS)).alias("spot")
+
+    marks = want.select(spot("key", "first_id")).groupBy(F.expr("bitmap_bucket_number(spot)").alias("bucket"))
+    marks = marks.agg(F.expr("bitmap_construct_agg(bitmap_bit_position(spot))").alias("bits"))
+    rows = keyed.select("*", spot("key", "doc_id")).withColumn("bucket", F.expr("bitmap_bucket_number(spot)"))
+    rows = rows.join(F.broadcast(marks), "bucket").withColumn("place", F.expr("bitmap_bit_position(spot)"))
+    byte = "cast(conv(hex(substring(bits, cast(place div 8 as int) + 1, 1)), 16, 10) as int)"
+    return rows.filter(F.expr(f"shiftright({byte}, cast(place % 8 as int)) % 2 = 1")).select(*keyed.columns)
+
+
 def _salted(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """``pairs (a, b)`` with the sets of b, where one b may be in a third of all pairs."""
     part = F.pmod(F.xxhash64("a"), F.lit(PARTS))
@@ -225,6 +244,8 @@ def search(texts: DataFrame, keyed: DataFrame, lengths: list[int], threshold: fl
     wanted = held.groupBy("id").agg(F.sum("count").alias("central"))
     held = held.drop("count").join(wanted, "id")
     want = texts.join(wanted, "id", "left_semi").select("id", "key", F.col("doc_id").alias("first_id"))
+    want = scratch.materialise(want, "want")
+    keyed = _likely(keyed, want)
     chosen = keyed.join(want, (keyed.key == want.key) & keyed.doc_id.eqNullSafe(want.first_id)).select("id", "text")
     # Kept by id, so that no join with them moves them again.
     sets = scratch.materialise_bucketed(_sets(chosen).dropDuplicates(["id"]), ["id"], "sets")
@@ -274,7 +295,9 @@ def search(texts: DataFrame, keyed: DataFrame, lengths: list[int], threshold: fl
     held_by = beyond.groupBy("p", "e").agg(F.count("*").alias("k"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("k > 1").join(family, "p")
     held_by = scratch.materialise(held_by.select("p", "e", (F.col("lo") < F.col("hi")).alias("mixed"), (2 * F.col("k") > F.col("size")).alias("common")), "held-by")
     grown = held_by.filter("common").groupBy("p").agg(F.count("*").alias("grown"))
-    own = beyond.join(held_by, ["p", "e"]).groupBy("p", "x").agg(F.count_if("common").alias("has"), F.count_if(~F.col("common")).alias("some"))
+    # Written once: counts and candidates come from the shared shingles alone.
+    shared = scratch.materialise(beyond.select("p", "x", "e").join(held_by, ["p", "e"]), "shared")
+    own = shared.groupBy("p", "x").agg(F.count_if("common").alias("has"), F.count_if(~F.col("common")).alias("some"))
     zero = F.lit(0)
     rel = rel.join(grown, "p", "left").join(own, ["p", "x"], "left").select(
         "p", "x", "comp", "n", "linked", (F.col("nb") + F.coalesce("grown", zero)).alias("ref"),
@@ -287,7 +310,7 @@ def search(texts: DataFrame, keyed: DataFrame, lengths: list[int], threshold: fl
         return f"not (linked and linked_y) and ({most}) >= {threshold}D * (n + ny - ({most}))"
 
     # With a shared extra shingle: only those that another item holds can be common.
-    mixed = beyond.select("p", "x", "e").join(held_by.filter("mixed and not common").select("p", "e"), ["p", "e"])
+    mixed = shared.filter("mixed and not common").select("p", "x", "e")
     of_x, of_y = mixed.join(rel, ["p", "x"]), mixed.withColumnRenamed("x", "y").join(rel_y, ["p", "y"])
     share = of_x.join(of_y, ["p", "e"]).filter(f"comp < comp_y and {within('ref - greatest(missing, missing_y) + least(some, some_y)')}")
     share = share.select(F.col("x").alias("a"), F.col("y").alias("b"))
