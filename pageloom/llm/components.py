@@ -8,6 +8,15 @@ from pyspark.sql import functions as F
 from pageloom.sources import scratch
 
 
+def merged(table: DataFrame) -> DataFrame:
+    """For the right side of a join: the driver gathers no table for a broadcast, however small it is.
+
+    A search is more than a hundred joins, and each broadcast is a job, a thread
+    that stays for a minute and pages in the driver, over any input.
+    """
+    return table.hint("merge")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``(id, comp)`` of every id in ``edges (a, b)``; ``comp`` is the least id reached.
 
@@ -20,10 +29,12 @@ def components(edges: DataFrame) -> DataFrame:
     both = scratch.materialise(ends.distinct(), "edges")
     labels = scratch.materialise(both.groupBy("a").agg(F.least("a", F.min("b")).alias("comp")).withColumnRenamed("a", "id"), "labels")
     while True:
-        near = both.join(labels.select(F.col("id").alias("b"), F.col("comp").alias("near")), "b").groupBy("a").agg(F.min("near").alias("near"))
-        least = labels.join(near.withColumnRenamed("a", "id"), "id").select("id", F.least("comp", "near").alias("comp"), F.col("comp").alias("old"))
+        # A node's own label goes with its neighbours': one sum instead of a sum and a join.
+        near = both.join(merged(labels.select(F.col("id").alias("b"), F.col("comp").alias("near"))), "b").select(F.col("a").alias("id"), "near", F.lit(None).cast("long").alias("old"))
+        own = labels.select("id", F.col("comp").alias("near"), F.col("comp").alias("old"))
+        least = near.unionAll(own).groupBy("id").agg(F.min("near").alias("comp"), F.max("old").alias("old"))
         jump = labels.select(F.col("id").alias("comp"), F.col("comp").alias("jump"))
-        step = least.join(jump, "comp").select("id", F.least("comp", "jump").alias("comp"), "old")
+        step = least.join(merged(jump), "comp").select("id", F.least("comp", "jump").alias("comp"), "old")
         step = scratch.materialise(step, "labels")
         labels = step.select("id", "comp")
         if step.filter("comp <> old").isEmpty():
